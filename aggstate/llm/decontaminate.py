@@ -1,7 +1,7 @@
 """Benchmark decontamination: SimHash of item-sized windows, multi-index Hamming blocks, exact weighted similarity.
 
-An item of n words is compared with windows of n words (the whole text, if it is shorter).  Words are split at ASCII
-white space and A-Z lower-cased; shingles have five words (an item of fewer words is one shingle, and so are its
+An item of n words is compared with windows of n words (the whole text, if it is shorter).  Words are lower-cased
+runs of letters, digits and non-ASCII characters; shingles have five words (an item of fewer words is one shingle, and so are its
 windows).  A shingle's weight is ``1 + ln(N / df)`` over the N items, repeats included.  The similarity of two multisets
 of shingles is the sum of the smaller weights over the sum of the larger ones.
 
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACES, U64, arrays_batch, blocks, byte_class, mix64, string_buffer, table, words_of
+from .common import NOT_ALPHANUMERIC, U64, arrays_batch, blocks, byte_class, mix64, string_buffer, table, words_of
 
 SHINGLE, RADIUS, LEAST = 5, 15, 0.8
 ITEMS, BLOCK_CHARS = 4096, 32 << 20
@@ -55,7 +55,7 @@ class Index:
     """What one block of items needs: shingles with weights and places, fingerprints, and the multi-index blocks, by shingle size."""
 
     def __init__(self, items: list[tuple[int, str]], size: int = SHINGLE, radius: int = RADIUS, total: int | None = None, df: dict | None = None) -> None:
-        lower, word = byte_class(SPACES)
+        lower, word = byte_class(NOT_ALPHANUMERIC)
         self.size, self.radius, self.parts = size, radius, {}
         by_size: dict[int, list] = {}
         for item, text in items:
@@ -136,7 +136,7 @@ class Index:
 
     def scan(self, column: pa.Array, least: float) -> list[tuple[int, tuple]]:
         """(row of the batch, match) in order of rows."""
-        lower, word = byte_class(SPACES)
+        lower, word = byte_class(NOT_ALPHANUMERIC)
         data, offsets = string_buffer(column)
         out = []
         for lo, hi in blocks(offsets):
@@ -159,10 +159,10 @@ class Index:
 def matches(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", least: float = LEAST, radius: int = RADIUS) -> DataFrame:
     """(id, item_id, start_word, n_words, distance, similarity): one row for each row of docs and item it holds."""
     spark = docs.sparkSession
-    rows = items.select(F.col(item_col).alias("item"), F.col(item_text).alias("text")).filter("item is not null and text is not null")
+    rows = items.select(F.col(item_col).alias("item"), F.lower(F.col(item_text)).alias("text")).filter("item is not null and text is not null")
     size = rows.agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("chars")).first()
     parts = max(1, -(-size["n"] // ITEMS), -(-(size["chars"] or 0) // BLOCK_CHARS))
-    chosen = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
+    chosen = docs.select(F.col(id_col).cast("bigint").alias("id"), F.lower(F.col(text_col)).alias("text"))
     out = None
     for b in range(parts):
         own = rows if parts == 1 else rows.filter(F.pmod(F.xxhash64("item"), F.lit(parts)) == b)
