@@ -18,7 +18,8 @@ Null and empty texts are the end id alone.  Null ids come first; of equal ids, r
 repeated rows are encoded each.  Other columns don't matter.  An empty table writes no shard and gives no rows.
 
 Encoding takes a short cut for texts of plain Latin letters: the tokenizer treats each piece that its own pattern finds
-apart from all others, so pieces are encoded once by the library and remembered (``CACHE`` pieces at most, then afresh).
+apart from all others, and none spans white space, so what stands between white space is encoded once by the library and remembered (about
+``CACHE`` entries, then afresh).
 Every other text is given to the library whole.
 """
 
@@ -39,7 +40,7 @@ from .common import arrays_batch, shared_folder, table
 
 END = 2
 SHARD_TOKENS = 2_000_000
-CACHE = 400_000
+CACHE = 800_000
 WORD_ROUNDS, TEXT_ROUNDS, RULES_A_ROUND, LEAST_COUNT = 6, 2, 4096, 24
 NO_ID = -(1 << 63)
 _LETTERS = "a-zß-öø-ÿ"
@@ -73,32 +74,42 @@ class Encoder:
 
     def fresh(self) -> None:
         self.number: dict[str, int] = {}
+        self.known: dict[str, np.ndarray] = {}
         self.ids = [np.array([END], np.int64)]
 
     def plain(self, text: str) -> bool:
         return self.pieces is not None and not _ODD.search(text) and not any(s in text for s in self.special)
 
-    def learn(self, pieces: list[str]) -> None:
-        """Remembers the ids of new pieces; the library sees them parted by spaces, and its word ends part them again."""
-        got = np.array(self.library.encode(" ".join(pieces), add_special_tokens=False).ids, np.int64)
-        ends = (np.flatnonzero(self.last[got]) + 1).tolist()
-        if len(ends) == len(pieces) and ends[-1] == len(got):
-            parts = [got[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
-        else:  # a piece that is no word of its own when it stands alone
-            parts = [np.array(self.library.encode(p, add_special_tokens=False).ids, np.int64) for p in pieces]
-        self.number.update(zip(pieces, range(len(self.ids), len(self.ids) + len(pieces)), strict=True))
-        self.ids += parts
+    def learn(self, chunks: list[str]) -> None:
+        """Remembers the ids of new chunks; the library sees their new pieces parted by spaces, and its word ends part them again."""
+        parts = [self.pieces.findall(c) for c in chunks]
+        new = list(dict.fromkeys(p for own in parts for p in own if p not in self.known))
+        for lo in range(0, len(new), 4096):
+            some = new[lo : lo + 4096]
+            got = np.array(self.library.encode(" ".join(some), add_special_tokens=False).ids, np.int64)
+            ends = (np.flatnonzero(self.last[got]) + 1).tolist()
+            if len(ends) == len(some) and ends[-1] == len(got):
+                ids = [got[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+            else:  # a piece that is no word of its own when it stands alone
+                ids = [np.array(self.library.encode(p, add_special_tokens=False).ids, np.int64) for p in some]
+            self.known.update(zip(some, ids, strict=True))
+        self.number.update(zip(chunks, range(len(self.ids), len(self.ids) + len(chunks)), strict=True))
+        self.ids += [self.known[own[0]] if len(own) == 1 else np.concatenate([self.known[p] for p in own]) for own in parts]
 
     def encode(self, texts: list[str | None]) -> list[list[int]]:
         """Numbers in self.ids for each text, 0 (the end) last."""
-        found = [self.pieces.findall(t.lower()) if t and self.plain(t) else None for t in texts]
-        new = list(dict.fromkeys(p for f in found if f for p in set(f).difference(self.number)))
-        for lo in range(0, len(new), 4096):
-            self.learn(new[lo : lo + 4096])
+        found = [t.lower().split() if t and self.plain(t) else None for t in texts]
+        numbers = [None if f is None else list(map(self.number.get, f)) for f in found]
+        short = [i for i, n in enumerate(numbers) if n and None in n]
+        if short:
+            self.learn(list(dict.fromkeys(c for i in short for c, n in zip(found[i], numbers[i], strict=True) if n is None)))
+            for i in short:
+                numbers[i] = list(map(self.number.__getitem__, found[i]))
         out = []
-        for text, pieces in zip(texts, found, strict=True):
-            if pieces is not None:
-                out.append([*map(self.number.__getitem__, pieces), 0])
+        for text, own in zip(texts, numbers, strict=True):
+            if own is not None:
+                own.append(0)
+                out.append(own)
             elif not text:
                 out.append([0])
             else:
