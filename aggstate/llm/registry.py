@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from . import decontaminate, language_id, licenses, simhash, url_filter
+import corpus_pipeline
 
-_MODULES = (language_id, simhash, decontaminate, url_filter, licenses)
+from . import decontaminate, html_extract, kneser_ney, language_id, licenses, mixing, simhash, token_binary, url_filter, webp
+
+_MODULES = (language_id, mixing, token_binary, simhash, kneser_ney, webp, html_extract, decontaminate, url_filter, licenses, corpus_pipeline)
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLE = {name: sql for module in _MODULES for name, sql in getattr(module, "ORACLE", {}).items()}

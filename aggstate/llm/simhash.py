@@ -12,12 +12,19 @@ is linear.  Every one of them names the 65 fingerprints within one bit of itself
 at most two bits, and any two that differ in at most two bits name a common one, so linking them to the smallest of the
 at most 65 that name it loses no link of the group.
 
+``near_duplicates`` finds texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.  At that
+similarity fingerprints of the shingles differ in about ten bits, too many to be searched exactly, so candidates come from
+fingerprints of the words with their counts, which barely move under such edits: three of them, from different hash
+seeds, each searched within two bits.  A candidate link must have shingle counts that allow the similarity and
+fingerprints of the shingles within ``FAR`` bits, and is then verified on the whole texts.
+
 Groups are connected components by alternating large-star and small-star steps, each cut to the shared folder.
 """
 
 from __future__ import annotations
 
 import itertools
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -174,6 +181,95 @@ def groups(fps: DataFrame, *, radius: int = 2) -> DataFrame:
     return fps.join(named, "fp", "left").select("id", "fp", "component_id")
 
 
+SEEDS = (42, 1042, 2042)
+#: Differing bits of two texts' shingle fingerprints beyond which a candidate isn't verified; 0.8 gives 10 on average.
+FAR = 24
+
+
+def word_fingerprint(words: list[bytes], seed: int) -> int:
+    """A bit is set if words that set it are more frequent than the others."""
+    counts = Counter(words)
+    h = np.fromiter(map(xxhash.xxh64_intdigest, counts, itertools.repeat(seed)), np.uint64, len(counts))
+    bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    n = np.fromiter(counts.values(), np.float64, len(counts))
+    return int(np.packbits(n @ bits * 2 > n.sum(), bitorder="little").view(np.int64)[0])
+
+
+def _signatures(rows: DataFrame, size: int) -> DataFrame:
+    """(id, text_a, text_b: the word sequence's hashes, n: shingles, fp, w0, w1, w2) for each row of (id, text)."""
+    names = ("text_a", "text_b", "n", "fp", "w0", "w1", "w2")
+
+    def one(text: bytes | None) -> tuple:
+        words = (text or b"").lower().split()
+        joined = b" ".join(words)
+        signed = lambda seed: xxhash.xxh64_intdigest(joined, seed) - (1 << 63)
+        h = shingle_hashes(text or b"", size)
+        return signed(1), signed(2), len(np.unique(h)), fingerprint(h), *[word_fingerprint(words, s) if words else 0 for s in SEEDS]
+
+    def run(batches):
+        for batch in batches:
+            columns = list(zip(*map(one, batch.column("text").cast(pa.binary()).to_pylist()), strict=True)) or [[]] * len(names)
+            yield arrays_batch({"id": batch.column("id")} | {k: pa.array(v, pa.int64()) for k, v in zip(names, columns, strict=True)})
+
+    return rows.mapInArrow(run, "id bigint, " + ", ".join(f"{k} bigint" for k in names))
+
+
+def _similar(pairs: DataFrame, size: int, least: float) -> DataFrame:
+    """(a, b) of the rows (a, b, text_of_a, text_of_b) whose shingle sets are similar enough."""
+
+    def run(batches):
+        for batch in batches:
+            keep = []
+            for x, y in zip(*(batch.column(k).cast(pa.binary()).to_pylist() for k in ("text_of_a", "text_of_b")), strict=True):
+                left, right = set(shingle_hashes(x or b"", size).tolist()), set(shingle_hashes(y or b"", size).tolist())
+                both = len(left & right)
+                keep.append(both >= least * (len(left) + len(right) - both))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return pairs.select("a", "b", "text_of_a", "text_of_b").mapInArrow(run, "a bigint, b bigint")
+
+
+def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 5, least: float = 0.8) -> DataFrame:
+    """(id, component_id) for each row of df with an id: the smallest id of its group of equal and near-duplicate texts.
+
+    Texts are equal if their words are, with A-Z lower-cased.  Null and empty texts are equal.  A row whose id stands in
+    df before with another text is a document of its own here.
+    """
+    rows = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).filter("id is not null")
+    signed = cut(_signatures(rows, size))
+    same = ["text_a", "text_b"]
+    kinds = cut(signed.groupBy(*same).agg(F.min("id").alias("node"), *[F.first(c).alias(c) for c in ("n", "fp", "w0", "w1", "w2")]))
+    proposed = None
+    for w in ("w0", "w1", "w2"):
+        heads = kinds.groupBy(F.col(w).alias("key")).agg(F.min("node").alias("a"), F.count("*").alias("many"))
+        inside = kinds.join(heads.filter("many > 1"), kinds[w] == F.col("key")).filter("node > a").select("a", F.col("node").alias("b"))
+        between = links(heads.select(F.col("a").alias("node"), F.col("key").alias("fp")))
+        found = inside.unionByName(between)
+        proposed = found if proposed is None else proposed.unionByName(found)
+    facts = kinds.select("node", "n", "fp")
+    left, right = facts.toDF("a", "na", "fa"), facts.toDF("b", "nb", "fb")
+    proposed = proposed.distinct().join(left, "a").join(right, "b")
+    proposed = cut(proposed.filter((F.least("na", "nb") >= least * F.greatest("na", "nb")) & (F.bit_count(F.col("fa").bitwiseXOR(F.col("fb"))) <= FAR)).select("a", "b"))
+    wanted = proposed.select(F.col("a").alias("node")).unionByName(proposed.select(F.col("b").alias("node"))).distinct()
+    texts = cut(rows.join(wanted, rows["id"] == wanted["node"]).groupBy("node").agg(F.min("text").alias("text")))
+    pairs = proposed.join(texts.toDF("a", "text_of_a"), "a").join(texts.toDF("b", "text_of_b"), "b")
+    found = components(_similar(pairs, size, least))
+    named = kinds.join(found, "node", "left").select(*same, F.coalesce("component", "node").alias("component_id"))
+    return signed.join(named, same).select("id", "component_id")
+
+
+def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group the document with the smallest id stays, once; rows without an id can't be told apart and stay."""
+    found = cut(near_duplicates(docs))
+    surplus = found.groupBy("id").agg(F.min("component_id").alias("component_id"), F.count("*").alias("n"))
+    gone = surplus.filter("component_id < id").select(F.col("id").alias("__id"))
+    left = docs.join(gone, docs["doc_id"] == gone["__id"], "left_anti")
+    again = surplus.filter("n > 1 and component_id = id").select(F.col("id").alias("__id"))
+    if again.isEmpty():
+        return left
+    return left.join(again, left["doc_id"] == again["__id"], "left_anti").unionByName(left.join(again, left["doc_id"] == again["__id"], "left_semi").dropDuplicates(["doc_id"]))
+
+
 def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     fps = cut(fingerprints(table(spark, sf_dir, "documents"), size=3))
     return groups(fps).select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
