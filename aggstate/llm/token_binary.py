@@ -26,6 +26,7 @@ Every other text is given to the library whole.
 from __future__ import annotations
 
 import functools
+import gc
 import json
 import re
 import zlib
@@ -41,7 +42,7 @@ from .common import arrays_batch, shared_folder, table
 END = 2
 SHARD_TOKENS = 2_000_000
 CACHE = 800_000
-WORD_ROUNDS, TEXT_ROUNDS, RULES_A_ROUND, LEAST_COUNT = 6, 2, 4096, 24
+WORD_ROUNDS, TEXT_ROUNDS, RULES_A_ROUND, LEAST_COUNT = 5, 1, 4096, 24
 NO_ID = -(1 << 63)
 _LETTERS = "a-zß-öø-ÿ"
 _ODD = re.compile("[^\t\n\r -~À-ÖØ-öø-ÿ]")
@@ -62,6 +63,7 @@ class Encoder:
             self.last[[i for t, i in self.library.get_vocab().items() if t.endswith(suffix)]] = True
         found = [p["pattern"]["Regex"] for p in (described.get("pre_tokenizer") or {}).get("pretokenizers", []) if p.get("type") == "Split" and "Regex" in p.get("pattern", {}) and p.get("invert")]
         kinds = [n.get("type") for n in (described.get("normalizer") or {}).get("normalizers", [])]
+        self.bytes = [p.get("type") for p in (described.get("pre_tokenizer") or {}).get("pretokenizers", [])] == ["Split", "ByteLevel"]
         self.special = [t["content"] for t in described.get("added_tokens", [])]
         self.pieces = None
         if suffix and len(found) == 1 and kinds == ["NFC", "Replace", "Lowercase"]:
@@ -82,8 +84,12 @@ class Encoder:
 
     def learn(self, chunks: list[str]) -> None:
         """Remembers the ids of new chunks; the library sees their new pieces parted by spaces, and its word ends part them again."""
-        parts = [self.pieces.findall(c) for c in chunks]
-        new = list(dict.fromkeys(p for own in parts for p in own if p not in self.known))
+        parts = [[c] if c.isalpha() else self.pieces.findall(c) for c in chunks]  # letters alone are one piece
+        new = list({p for own in parts for p in own}.difference(self.known))
+        if self.bytes:  # a byte-level model reads ASCII letters as they are
+            model = self.library.model
+            self.known.update((p, np.array([t.id for t in model.tokenize(p)], np.int64)) for p in new if p.isascii() and p.isalpha())
+            new = [p for p in new if p not in self.known]
         for lo in range(0, len(new), 4096):
             some = new[lo : lo + 4096]
             got = np.array(self.library.encode(" ".join(some), add_special_tokens=False).ids, np.int64)
@@ -102,7 +108,7 @@ class Encoder:
         numbers = [None if f is None else list(map(self.number.get, f)) for f in found]
         short = [i for i, n in enumerate(numbers) if n and None in n]
         if short:
-            self.learn(list(dict.fromkeys(c for i in short for c, n in zip(found[i], numbers[i], strict=True) if n is None)))
+            self.learn(list({c for i in short for c in found[i]}.difference(self.number)))
             for i in short:
                 numbers[i] = list(map(self.number.__getitem__, found[i]))
         out = []
@@ -186,19 +192,27 @@ def repair(pieces: list[np.ndarray], texts: list[np.ndarray], base: int, *, leas
     return grammar, sym, np.searchsorted(text_of, np.arange(len(texts) + 1))
 
 
-def expand(sym: np.ndarray, rules: np.ndarray, base: int) -> np.ndarray:
-    """The ids that symbols stand for."""
-    while len(rules):
-        big = sym >= base
-        if not big.any():
-            break
-        at = np.cumsum(big) - big + np.arange(len(sym))
-        out = np.empty(len(sym) + int(big.sum()), np.int64)
-        out[at[~big]] = sym[~big]
-        rule = rules[sym[big] - base]
-        out[at[big]], out[at[big] + 1] = rule[:, 0], rule[:, 1]
-        sym = out
-    return sym
+class Expansions:
+    """Where each symbol's ids stand in one array: single ids by themselves, then every rule's whole expansion."""
+
+    def __init__(self, rules: np.ndarray, base: int) -> None:
+        lengths = np.concatenate([np.ones(base, np.int64), _lengths(rules, base)])
+        flow = np.arange(base, base + len(rules))
+        while len(flow) and (big := flow >= base).any():
+            at = np.cumsum(big) - big + np.arange(len(flow))
+            longer = np.empty(len(flow) + int(big.sum()), np.int64)
+            longer[at[~big]] = flow[~big]
+            rule = rules[flow[big] - base]
+            longer[at[big]], longer[at[big] + 1] = rule[:, 0], rule[:, 1]
+            flow = longer
+        self.ids, self.lengths = np.concatenate([np.arange(base), flow]).astype(np.int32), lengths
+        self.starts = np.cumsum(lengths) - lengths
+
+    def of(self, sym: np.ndarray) -> np.ndarray:
+        """The ids that symbols stand for."""
+        n = self.lengths[sym]
+        ends = np.cumsum(n)
+        return self.ids[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(self.starts[sym] - ends + n, n)]
 
 
 def _lengths(rules: np.ndarray, base: int) -> np.ndarray:
@@ -242,11 +256,13 @@ class Shard:
         self.rules = np.stack([left, right], 1).astype(np.int64)
         self.symbols = low.astype(np.int64) | high.astype(np.int64) << 16
 
+        self.expansions = Expansions(self.rules, self.base)
+
     def all(self) -> np.ndarray:
-        return expand(self.symbols, self.rules, self.base)
+        return self.expansions.of(self.symbols)
 
     def document(self, k: int) -> np.ndarray:
-        return expand(self.symbols[int(self.first[k]) : int(self.first[k + 1])], self.rules, self.base)
+        return self.expansions.of(self.symbols[int(self.first[k]) : int(self.first[k + 1])])
 
     def decode_range(self, lo: int, hi: int) -> np.ndarray:
         """The ids from place lo up to hi, expanding only the symbols that cover them."""
@@ -256,7 +272,7 @@ class Shard:
         ends = np.cumsum(size)
         a, b = np.searchsorted(ends, lo, "right"), np.searchsorted(ends, hi, "left") + 1
         before = int(ends[a - 1]) if a else 0
-        return expand(self.symbols[a:b], self.rules, self.base)[lo - before : hi - before]
+        return self.expansions.of(self.symbols[a:b])[lo - before : hi - before]
 
 
 def write(df: DataFrame, folder: str, *, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", shard_tokens: int = SHARD_TOKENS) -> None:
@@ -265,6 +281,7 @@ def write(df: DataFrame, folder: str, *, tokenizer: str, id_col: str = "doc_id",
     rows = rows.repartitionByRange("id", "tie").sortWithinPartitions("id", "tie").select("id", "text")
 
     def run(batches):
+        gc.disable()  # millions of small lists, and no cycles among them
         coder, part, seq = encoder(tokenizer), TaskContext.get().partitionId(), 0
         ids: list = []
         texts: list[np.ndarray] = []
