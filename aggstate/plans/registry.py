@@ -1,6 +1,241 @@
-"""The queries of the library and their DuckDB counterparts."""
+"""The queries of the library over the driver's tables, and their DuckDB counterparts."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE: dict[str, str] = {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from aggstate.functions import bytesx as B
+from aggstate.functions import registers as R
+from aggstate.operators import quantiles as Q
+from aggstate.operators import rollup as U
+from aggstate.operators import states as S
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events in the shape of raw rollup input."""
+    return _table(spark, sf_dir, "events").select(
+        F.col("ts").cast("timestamp").alias("time"), F.col("event_type").alias("channel"),
+        F.when(F.col("user_id") % 3 != 0, F.concat(F.lit("c"), (F.col("user_id") % 7).cast("string"))).alias("country"),
+        (F.col("value") > 50).cast("string").alias("robot"), F.col("user_id").alias("user"),
+        F.coalesce(F.get_json_object("props", "$.k"), F.lit("")).alias("page"), F.round(F.col("value") * 100).cast("bigint").alias("added"),
+    )
+
+
+_E = "(SELECT ts AS time, event_type AS channel, CASE WHEN user_id % 3 <> 0 THEN 'c' || (user_id % 7) END AS country, CAST(value > 50 AS VARCHAR) AS robot, user_id AS \"user\", coalesce(json_extract_string(props, '$.k'), '') AS page, CAST(round(value * 100) AS BIGINT) AS added FROM events)"
+_iso = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+_DIMS = ["channel", "country", "robot"]
+
+
+def _hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return U.rollup(_events(spark, sf_dir), dims=_DIMS)
+
+
+def rollup_hour(spark, sf_dir):
+    rows = _events(spark, sf_dir).groupBy(F.date_trunc("HOUR", "time").alias("t"), *_DIMS).agg(F.count(F.lit(1)).alias("events"), F.sum("added").cast("bigint").alias("sum_added"), F.theta_sketch_agg("user", F.lit(14)).alias("u"))
+    return rows.select(_iso("t").alias("ts"), *_DIMS, "events", "sum_added", F.theta_sketch_estimate("u").alias("users"))
+
+
+def rollup_day_users(spark, sf_dir):
+    parts = _events(spark, sf_dir).groupBy(F.date_trunc("HOUR", "time").alias("t"), "channel").agg(F.count(F.lit(1)).alias("events"), F.theta_sketch_agg("user", F.lit(14)).alias("u"))
+    days = parts.groupBy(F.date_trunc("DAY", "t").alias("t"), "channel").agg(F.sum("events").cast("bigint").alias("events"), F.theta_union_agg("u", F.lit(14)).alias("u"))
+    return days.select(_iso("t").alias("ts"), "channel", "events", F.theta_sketch_estimate("u").alias("users"))
+
+
+def multi_grain(spark, sf_dir):
+    rows = U.grains(_hourly(spark, sf_dir))
+    return rows.select("grain", _iso("ts").alias("ts"), *_DIMS, "events", "sum_added", F.theta_sketch_estimate("users_theta").alias("users"))
+
+
+def _grain_sql() -> str:
+    out = []
+    for name, unit, dims in U.GRAINS:
+        cols = ", ".join(d if d in dims else f"NULL::VARCHAR AS {d}" for d in _DIMS)
+        out.append(f"SELECT '{name}' AS grain, strftime(date_trunc('{unit.lower()}', time), '%Y-%m-%d %H:%M:%S') AS ts, {cols}, count(*) AS events, CAST(sum(added) AS BIGINT) AS sum_added, count(DISTINCT \"user\") AS users FROM {_E} GROUP BY ALL")
+    return "\nUNION ALL\n".join(out)
+
+
+def naive_sum(spark, sf_dir):
+    hourly = _events(spark, sf_dir).groupBy(F.date_trunc("HOUR", "time").alias("t"), "channel").agg(F.theta_sketch_agg("user", F.lit(14)).alias("u"))
+    return hourly.groupBy("channel").agg(F.sum(F.theta_sketch_estimate("u")).cast("bigint").alias("naive"), F.theta_sketch_estimate(F.theta_union_agg("u", F.lit(14))).alias("united")).withColumn("inflated", F.col("naive") > F.col("united"))
+
+
+def hll_in_bounds(spark, sf_dir):
+    """HLL estimates, merged from hours, against exact counts: within three standard errors."""
+    rows = U.merged(_hourly(spark, sf_dir), ["channel"]).select("channel", F.hll_sketch_estimate("users_hll").alias("e"))
+    exact = _events(spark, sf_dir).groupBy("channel").agg(F.count_distinct("user").alias("users"))
+    return exact.join(rows, "channel").select("channel", "users", (F.abs(F.col("e") - F.col("users")) <= F.greatest(F.lit(1.0), F.col("users") * 0.05)).alias("good"))
+
+
+def native_registers(spark, sf_dir):
+    rows = S.native(_table(spark, sf_dir, "lineitem"), ["l_linenumber"], "l_orderkey", 12)
+    return rows.groupBy("l_linenumber").agg(F.count("*").alias("used"), F.max("rank").cast("bigint").alias("top"), F.sum("rank").cast("bigint").alias("ranks"))
+
+
+def native_estimate(spark, sf_dir):
+    rows = S.native(_table(spark, sf_dir, "lineitem"), ["l_linenumber"], "l_orderkey", 14)
+    return S.estimates(rows, ["l_linenumber"], 14).select("l_linenumber", F.round("estimate", 4).alias("estimate"))
+
+
+_M = "18446744073709551616::UHUGEINT"
+_HASH = f"""
+s1 AS (SELECT *, x ^ (x >> 33) AS a FROM s0), s2 AS (SELECT *, CAST((CAST(a AS UHUGEINT) * 18397679294719823053) % {_M} AS UBIGINT) AS b FROM (SELECT * EXCLUDE (a), xor(x, x >> 33) AS a FROM s1)),
+s3 AS (SELECT *, xor(b, b >> 33) AS c FROM s2), s4 AS (SELECT *, CAST((CAST(c AS UHUGEINT) * 14181476777654086739) % {_M} AS UBIGINT) AS d FROM s3),
+h AS (SELECT *, xor(d, d >> 33) AS h FROM s4)""".replace("s1 AS (SELECT *, x ^ (x >> 33) AS a FROM s0)", "s1 AS (SELECT *, x AS a FROM s0)")
+
+
+def _registers_sql(k: int, tail: str) -> str:
+    return f"""
+WITH s0 AS (SELECT l_linenumber, CAST(l_orderkey AS UBIGINT) AS x FROM lineitem), {_HASH},
+t AS (SELECT l_linenumber, h & {(1 << k) - 1} AS bucket, h >> {k} AS tail FROM h),
+r AS (SELECT l_linenumber, bucket, max(CASE WHEN tail = 0 THEN {65 - k} ELSE bit_count(CAST(xor(tail, tail - 1) AS UBIGINT)) END) AS rank FROM t GROUP BY ALL)
+{tail}"""
+
+
+def rowbinary(spark, sf_dir):
+    n = _table(spark, sf_dir, "nation")
+    return n.select("n_nationkey", F.hex(B.rb_row(B.rb_string(F.col("n_name")), B.rb_nullable_string(F.when(F.col("n_regionkey") > 1, F.col("n_name"))), B.rb_int64(F.col("n_nationkey") - 7))).alias("bytes"))
+
+
+def varints(spark, sf_dir):
+    o = _table(spark, sf_dir, "orders").select("o_orderkey")
+    code = B.leb128(F.col("o_orderkey") * 37)
+    return o.select("o_orderkey", F.hex(code).alias("bytes"), (B.leb128_value(code) == F.col("o_orderkey") * 37).alias("same"))
+
+
+def tsv(spark, sf_dir):
+    return _table(spark, sf_dir, "documents").select("doc_id", F.md5(B.tsv_row(F.col("doc_id"), F.when(F.col("lang") != "es", F.col("text")), F.col("source")).cast("binary")).alias("digest"))
+
+
+def base64_carry(spark, sf_dir):
+    c = _table(spark, sf_dir, "customer")
+    quoted = F.concat(F.lit('"'), F.base64(F.encode("c_name", "UTF-8")), F.lit('"'))
+    return c.select("c_custkey", quoted.alias("quoted"), F.decode(B.unquoted_base64(quoted), "UTF-8").alias("back"))
+
+
+def theta_algebra(spark, sf_dir):
+    e = _table(spark, sf_dir, "lineitem")
+    sk = lambda cond: F.theta_sketch_agg(F.when(cond, F.col("l_partkey")), F.lit(20))
+    row = e.groupBy("l_linestatus").agg(sk(F.col("l_returnflag") == "R").alias("a"), sk(F.col("l_quantity") > 30).alias("b"))
+    n = F.theta_sketch_estimate
+    return row.select("l_linestatus", n("a").alias("a"), n("b").alias("b"), n(F.theta_union("a", "b", F.lit(20))).alias("either"), n(F.theta_intersection("a", "b")).alias("both"), n(F.theta_difference("a", "b")).alias("only_a"))
+
+
+def theta_states(spark, sf_dir):
+    """Sketches carried as native states: the prefix is the length, the seed hash and the entries survive."""
+    parts = _events(spark, sf_dir).groupBy("channel").agg(F.theta_sketch_agg("user", F.lit(12)).alias("u"))
+    state = parts.select("channel", S.theta_state(F.col("u")).alias("s")).withColumn("body", B.strip_leb128(F.col("s")))
+    return state.select("channel", (B.leb128_value(F.col("s")) == F.octet_length("body")).alias("prefixed"), B.le_uint(F.col("body"), 6, 2).alias("seed_hash"), F.theta_sketch_estimate("body").alias("users"))
+
+
+def transplant(spark, sf_dir):
+    """HLL sketches carried to both native states by group; merged estimates are near the exact counts."""
+    li = _table(spark, sf_dir, "lineitem")
+    parts = li.groupBy("l_linenumber", "l_returnflag").agg(F.hll_sketch_agg("l_orderkey", F.lit(14)).alias("s"))
+    states = parts.select("l_linenumber", S.hll12_state("s").alias("h"), S.combined_state(F.col("s"), 14).alias("c"))
+    sizes = states.groupBy("l_linenumber").agg(F.max(F.octet_length("h")).alias("hll12_size"), F.max(F.octet_length("c")).alias("combined_size"))
+    got = S.estimates(S.unite(S.opened(states, ["l_linenumber"], "c", family="combined", k=14), ["l_linenumber"]), ["l_linenumber"], 14)
+    low = S.estimates(S.unite(S.opened(states, ["l_linenumber"], "h", family="hll12", k=12), ["l_linenumber"]), ["l_linenumber"], 12).withColumnRenamed("estimate", "low")
+    exact = li.groupBy("l_linenumber").agg(F.count_distinct("l_orderkey").alias("n"))
+    near = lambda c, band: F.abs(F.col(c) / F.col("n") - 1) < band
+    return exact.join(sizes, "l_linenumber").join(got, "l_linenumber").join(low, "l_linenumber").select("l_linenumber", "n", "hll12_size", "combined_size", near("estimate", 0.05).alias("combined_near"), near("low", 0.08).alias("hll12_near"))
+
+
+def never_mix(spark, sf_dir):
+    """Transplanted and native states of the same values, merged on purpose: nearly twice the count."""
+    li = _table(spark, sf_dir, "lineitem").filter("l_linenumber = 1").select(F.lit(1).alias("g"), "l_orderkey")
+    own = S.native(li, ["g"], "l_orderkey", 14)
+    moved = li.groupBy("g").agg(F.hll_sketch_agg("l_orderkey", F.lit(14)).alias("s")).select("g", S.combined_state(F.col("s"), 14).alias("c"))
+    both = S.unite(own.unionByName(S.opened(moved, ["g"], "c", family="combined", k=14)), ["g"])
+    exact = li.groupBy("g").agg(F.count_distinct("l_orderkey").alias("n"))
+    return exact.join(S.estimates(both, ["g"], 14), "g").select("g", "n", (F.col("estimate") > 1.8 * F.col("n")).alias("doubled"))
+
+
+def replay_mass(spark, sf_dir):
+    """Every (hour, channel) replayed: as many samples as allowed, weights summing to the count."""
+    e = _events(spark, sf_dir)
+    rows = Q.replay(e, ["channel"], "added", 100)
+    return rows.groupBy("channel").agg(F.count("*").alias("samples"), F.sum("weight").cast("bigint").alias("mass"), F.max("weight").alias("heaviest"), F.sum("value").cast("bigint").alias("total"))
+
+
+def weighted_median(spark, sf_dir):
+    e = _events(spark, sf_dir).withColumn("w", F.col("user") % 5 + 1)
+    return Q.weighted_quantile(e, ["channel"], 0.5, "added", "w")
+
+
+def kll_quantiles(spark, sf_dir):
+    """Quantiles merged from hourly sketches lie in the rank band of 0.05."""
+    e = _events(spark, sf_dir)
+    day = U.merged(_hourly(spark, sf_dir), ["channel"])
+    out = None
+    for level in (0.5, 0.9, 0.99):
+        own = day.select("channel", F.kll_sketch_get_quantile_double("added_kll", F.lit(level)).alias("q"))
+        ranks = Q.rank_interval(e, ["channel"], "added", own, "q")
+        own = ranks.select("channel", F.lit(level).alias("level"), Q.valid_quantile(F.col("below"), F.col("upto"), level).alias("valid"))
+        out = own if out is None else out.unionByName(own)
+    return out
+
+
+def top_channels(spark, sf_dir):
+    rows = _table(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(F.count_distinct("l_partkey").alias("parts"))
+    return U.top(rows, "parts", 5, "l_suppkey")
+
+
+def verify_join(spark, sf_dir):
+    """Fine rows added up against the coarse rollup, keys matched with null-safe equality."""
+    e = _events(spark, sf_dir)
+    a = e.groupBy("channel", "country").agg(F.count("*").alias("n")).alias("a")
+    b = e.groupBy("channel", "country", "robot").agg(F.count("*").alias("n")).groupBy("channel", "country").agg(F.sum("n").cast("bigint").alias("n")).alias("b")
+    return a.join(b, F.col("a.channel").eqNullSafe(F.col("b.channel")) & F.col("a.country").eqNullSafe(F.col("b.country"))).select(F.col("a.channel"), F.col("a.country"), F.col("a.n").alias("n"), (F.col("a.n") == F.col("b.n")).alias("same"))
+
+
+def federated_join(spark, sf_dir):
+    e = _events(spark, sf_dir)
+    a = e.groupBy("channel").agg(F.count("*").alias("events"))
+    b = e.filter("robot = 'true'").groupBy("channel").agg(F.sum("added").cast("bigint").alias("robot_added"))
+    return a.join(b, "channel").select("channel", "events", "robot_added")
+
+
+def structure_guard(spark, sf_dir):
+    """Counts of sketches by representation, read from their headers; none is malformed."""
+    parts = _events(spark, sf_dir).groupBy(F.date_trunc("HOUR", "time"), "channel").agg(F.hll_sketch_agg("user", F.lit(12)).alias("s"))
+    return parts.groupBy("channel").agg(F.count("*").alias("sketches"), F.count_if(B.byte_at(F.col("s"), 2) != 7).alias("malformed"), F.count_if(B.byte_at(F.col("s"), 3) != 12).alias("other_k"))
+
+
+def grain_shape(spark, sf_dir):
+    rows = U.grains(_hourly(spark, sf_dir))
+    return rows.groupBy("grain").agg(F.count("*").alias("n"), F.sum("events").cast("bigint").alias("events"))
+
+
+_QUERY = (rollup_hour, rollup_day_users, multi_grain, naive_sum, hll_in_bounds, native_registers, native_estimate, rowbinary, varints, tsv, base64_carry, theta_algebra, theta_states, transplant, never_mix, replay_mass, weighted_median, kll_quantiles, top_channels, verify_join, federated_join, structure_guard, grain_shape)
+QUERIES = {q.__name__: q for q in _QUERY}
+_HOUR = "strftime(date_trunc('hour', time), '%Y-%m-%d %H:%M:%S') AS ts"
+ORACLE = {
+    "rollup_hour": f'SELECT {_HOUR}, channel, country, robot, count(*) AS events, CAST(sum(added) AS BIGINT) AS sum_added, count(DISTINCT "user") AS users FROM {_E} GROUP BY ALL',
+    "rollup_day_users": f"SELECT strftime(date_trunc('day', time), '%Y-%m-%d %H:%M:%S') AS ts, channel, count(*) AS events, count(DISTINCT \"user\") AS users FROM {_E} GROUP BY ALL",
+    "multi_grain": _grain_sql(),
+    "naive_sum": f'WITH p AS (SELECT date_trunc(\'hour\', time) AS t, channel, count(DISTINCT "user") AS n FROM {_E} GROUP BY ALL), x AS (SELECT channel, count(DISTINCT "user") AS united FROM {_E} GROUP BY ALL) SELECT p.channel, CAST(sum(n) AS BIGINT) AS naive, any_value(united) AS united, sum(n) > any_value(united) AS inflated FROM p JOIN x ON p.channel = x.channel GROUP BY p.channel',
+    "hll_in_bounds": f'SELECT channel, count(DISTINCT "user") AS users, true AS good FROM {_E} GROUP BY ALL',
+    "native_registers": _registers_sql(12, "SELECT l_linenumber, count(*) AS used, CAST(max(rank) AS BIGINT) AS top, CAST(sum(rank) AS BIGINT) AS ranks FROM r GROUP BY ALL"),
+    "native_estimate": _registers_sql(14, ", e AS (SELECT l_linenumber, 16384 - count(*) AS zeros, sum(pow(2.0, -rank)) AS s FROM r GROUP BY ALL), f AS (SELECT *, 0.7213 / (1 + 1.079 / 16384) * 16384 * 16384 / (s + zeros) AS raw FROM e) SELECT l_linenumber, round(CASE WHEN raw <= 40960 AND zeros > 0 THEN 16384 * ln(16384 / zeros) ELSE raw END, 4) AS estimate FROM f"),
+    "rowbinary": "SELECT n_nationkey, printf('%02X', octet_length(encode(n_name))) || hex(encode(n_name)) || CASE WHEN n_regionkey > 1 THEN '00' || printf('%02X', octet_length(encode(n_name))) || hex(encode(n_name)) ELSE '01' END || printf('%02X', CASE WHEN n_nationkey >= 7 THEN n_nationkey - 7 ELSE 249 + n_nationkey END) || CASE WHEN n_nationkey >= 7 THEN '00000000000000' ELSE 'FFFFFFFFFFFFFF' END AS bytes FROM nation",
+    "varints": "WITH RECURSIVE v(o_orderkey, rest, bytes, more) AS (SELECT o_orderkey, CAST(o_orderkey * 37 AS BIGINT), '', true FROM orders UNION ALL SELECT o_orderkey, rest >> 7, bytes || printf('%02X', (rest & 127) | CASE WHEN rest >= 128 THEN 128 ELSE 0 END), rest >= 128 FROM v WHERE more) SELECT o_orderkey, bytes, true AS same FROM v WHERE NOT more",
+    "tsv": r"SELECT doc_id, md5(doc_id || chr(9) || coalesce(replace(replace(replace(replace(CASE WHEN lang <> 'es' THEN text END, '\', '\\'), chr(9), '\t'), chr(10), '\n'), chr(13), '\r'), '\N') || chr(9) || coalesce(source, '\N')) AS digest FROM documents",
+    "base64_carry": "SELECT c_custkey, '\"' || to_base64(encode(c_name)) || '\"' AS quoted, c_name AS back FROM customer",
+    "theta_algebra": "WITH p AS (SELECT l_linestatus, l_partkey, bool_or(l_returnflag = 'R') AS a, bool_or(l_quantity > 30) AS b FROM lineitem GROUP BY ALL) SELECT l_linestatus, CAST(count_if(a) AS BIGINT) AS a, CAST(count_if(b) AS BIGINT) AS b, CAST(count_if(a OR b) AS BIGINT) AS either, CAST(count_if(a AND b) AS BIGINT) AS both, CAST(count_if(a AND NOT b) AS BIGINT) AS only_a FROM p GROUP BY ALL",
+    "theta_states": f'SELECT channel, true AS prefixed, CAST(37836 AS BIGINT) AS seed_hash, count(DISTINCT "user") AS users FROM {_E} GROUP BY ALL',
+    "transplant": f"SELECT l_linenumber, count(DISTINCT l_orderkey) AS n, CAST({R.hll12_size()} AS INT) AS hll12_size, CAST({R.layout(14)['size']} AS INT) AS combined_size, true AS combined_near, true AS hll12_near FROM lineitem GROUP BY ALL",
+    "never_mix": "SELECT 1 AS g, count(DISTINCT l_orderkey) AS n, true AS doubled FROM lineitem WHERE l_linenumber = 1",
+    "replay_mass": f"WITH v AS (SELECT channel, added, row_number() OVER (PARTITION BY channel ORDER BY added) - 1 AS r, count(*) OVER (PARTITION BY channel) AS n FROM {_E}), m AS (SELECT *, least(n, 100) AS m FROM v), i AS (SELECT DISTINCT channel, n, m, unnest(range(m)) AS i FROM m) SELECT i.channel, count(*) AS samples, CAST(sum(i.n // i.m + CASE WHEN i < i.n % i.m THEN 1 ELSE 0 END) AS BIGINT) AS mass, max(i.n // i.m + CASE WHEN i < i.n % i.m THEN 1 ELSE 0 END) AS heaviest, CAST(sum(added) AS BIGINT) AS total FROM i JOIN m ON i.channel = m.channel AND m.r = ((2 * i + 1) * i.n) // (2 * i.m) GROUP BY ALL",
+    "weighted_median": f'WITH w AS (SELECT channel, added, sum("user" % 5 + 1) AS w FROM {_E} GROUP BY ALL), c AS (SELECT *, sum(w) OVER (PARTITION BY channel ORDER BY added) AS c, sum(w) OVER (PARTITION BY channel) AS t FROM w) SELECT channel, min(added) AS quantile FROM c WHERE c >= 0.5 * t GROUP BY ALL',
+    "kll_quantiles": f"SELECT channel, level, true AS valid FROM (SELECT DISTINCT channel FROM {_E}), (SELECT unnest([0.5::DOUBLE, 0.9::DOUBLE, 0.99::DOUBLE]) AS level)",
+    "top_channels": "SELECT l_suppkey, count(DISTINCT l_partkey) AS parts FROM lineitem GROUP BY ALL ORDER BY parts DESC, l_suppkey LIMIT 5",
+    "verify_join": f"SELECT channel, country, count(*) AS n, true AS same FROM {_E} GROUP BY ALL",
+    "federated_join": f"SELECT channel, count(*) AS events, CAST(sum(CASE WHEN robot = 'true' THEN added END) AS BIGINT) AS robot_added FROM {_E} GROUP BY ALL HAVING count_if(robot = 'true') > 0",
+    "structure_guard": f"SELECT channel, count(DISTINCT date_trunc('hour', time)) AS sketches, CAST(0 AS BIGINT) AS malformed, CAST(0 AS BIGINT) AS other_k FROM {_E} GROUP BY ALL",
+    "grain_shape": f"SELECT grain, count(*) AS n, CAST(sum(events) AS BIGINT) AS events FROM ({_grain_sql()}) GROUP BY ALL",
+}
