@@ -5,7 +5,7 @@ ids; a document never spans shards, however long it is.  Each shard gets its own
 ids are replaced by nonterminals, round after round.  Pairs inside words come first, counted over the shard's distinct
 words with their frequencies, then pairs across words over the whole sequence; the end id is never part of a pair, so
 every document begins at a symbol.  In one round the most frequent pairs are replaced together; where two overlap, the
-more frequent one wins.
+more frequent one wins.  Rounds end when one shortens the sequence by less than a twenty-fifth.
 
 A shard is one binary value of a Parquet table (columns part, seq, n_docs, n_tokens, payload), written by Spark in the
 shared folder, so it survives lost executors and can lie in any store.  Layout, little-endian: ``RPG1``, four u32
@@ -42,7 +42,7 @@ from .common import arrays_batch, shared_folder, table
 END = 2
 SHARD_TOKENS = 2_000_000
 CACHE = 800_000
-WORD_ROUNDS, TEXT_ROUNDS, RULES_A_ROUND, LEAST_COUNT = 5, 1, 4096, 24
+ROUNDS, GAIN, RULES_A_ROUND, LEAST_COUNT = 12, 0.04, 4096, 24
 NO_ID = -(1 << 63)
 _LETTERS = "a-zß-öø-ÿ"
 _ODD = re.compile("[^\t\n\r -~À-ÖØ-öø-ÿ]")
@@ -150,7 +150,9 @@ def _replace(sym: np.ndarray, owner: np.ndarray, weight: np.ndarray | None, base
     at = np.full(len(sym) + 1, 1 << 40, np.int64)  # rank of the pair that begins at a place; the last entry guards both ends
     at[joined] = rank[which]
     here = at[:-1]
-    take = np.flatnonzero((here < 1 << 40) & (here < np.roll(at, 1)[:-1]) & (here <= at[1:]))
+    take = np.flatnonzero((here < 1 << 40) & (here <= np.roll(at, 1)[:-1]) & (here <= at[1:]))
+    row = np.arange(len(take))  # neighbouring places are repeats of one pair, of which every other one is taken
+    take = take[(row - np.maximum.accumulate(np.where(np.append(True, np.diff(take) > 1), row, 0))) % 2 == 0]
     used, place = np.unique(here[take], return_inverse=True)
     first = base + sum(len(r) for r in rules)
     rules.append(np.stack([pairs[chosen[used]] >> 32, pairs[chosen[used]] & 0xFFFFFFFF], 1))
@@ -158,7 +160,7 @@ def _replace(sym: np.ndarray, owner: np.ndarray, weight: np.ndarray | None, base
     sym[take] = first + place
     keep = np.ones(len(sym), bool)
     keep[take + 1] = False
-    return sym[keep], owner[keep], True
+    return sym[keep], owner[keep], len(take) >= GAIN * len(keep)
 
 
 def repair(pieces: list[np.ndarray], texts: list[np.ndarray], base: int, *, least: int = LEAST_COUNT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -173,7 +175,7 @@ def repair(pieces: list[np.ndarray], texts: list[np.ndarray], base: int, *, leas
     sym = np.concatenate(own) if own else np.zeros(0, np.int64)
     owner = np.repeat(np.arange(len(own)), [len(x) for x in own])
     rules: list[np.ndarray] = []
-    for _ in range(WORD_ROUNDS):
+    for _ in range(ROUNDS):
         sym, owner, more = _replace(sym, owner, counts, base, rules, least)
         if not more:
             break
@@ -184,7 +186,7 @@ def repair(pieces: list[np.ndarray], texts: list[np.ndarray], base: int, *, leas
     total = int(ends[-1]) if len(ends) else 0
     sym = sym[np.arange(total) - np.repeat(ends - spans - start[flow], spans)]
     text_of = np.repeat(np.repeat(np.arange(len(texts)), [len(t) for t in texts]), spans)
-    for _ in range(TEXT_ROUNDS):
+    for _ in range(ROUNDS):
         sym, text_of, more = _replace(sym, text_of, None, base, rules, least)
         if not more:
             break
