@@ -7,6 +7,7 @@ import struct
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def byte_at(data: Column, at: int | Column) -> Column:
@@ -92,7 +93,7 @@ def rb_int64(value: Column) -> Column:
     return to_le(value, 8)
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def rb_float64(value: pd.Series) -> pd.Series:
     return value.map(lambda v: None if pd.isna(v) else struct.pack("<d", v))
 

@@ -14,6 +14,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from aggstate.functions import registers as R
 
@@ -121,7 +122,7 @@ def checked_cast(state: Column, *, family: str, k: int = 12) -> Column:
     return F.when(state.isNull() | good, state).otherwise(F.raise_error(F.lit(f"not a {family} state")))
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def hll12_state(sketch: pd.Series) -> pd.Series:
     """A sketch carried over to the 12-bit state."""
     return sketch.map(lambda s: None if s is None else R.hll12_from_sketch(s))
@@ -146,25 +147,30 @@ def sketch_fields(sketch: Column) -> Column:
     return run(sketch)
 
 
-def theta_state(sketch: Column) -> Column:
-    """A theta sketch as a native state: its length, then the compact sketch of serial version 3."""
-    from aggstate.functions.bytesx import prefixed
+@F.pandas_udf(T.BinaryType())
+def theta_state(sketch: pd.Series) -> pd.Series:
+    """A theta sketch as a native state: its length (LEB128), then the compact sketch of serial version 3."""
 
-    @F.pandas_udf("binary")
-    def plain(s: pd.Series) -> pd.Series:
-        return s.map(lambda v: None if v is None else R.theta_uncompressed(v))
+    def one(data: bytes | None) -> bytes | None:
+        if data is None:
+            return None
+        body, head = R.theta_uncompressed(data), b""
+        n = len(body)
+        while n > 127:
+            head, n = head + bytes([n & 127 | 128]), n >> 7
+        return head + bytes([n]) + body
 
-    return prefixed(plain(sketch))
+    return sketch.map(one)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def merged_estimate(joined: pd.Series) -> pd.Series:
     """The estimate of sketches given as comma-separated base64: 0 if there are none, -1 if any can't be read; six decimals."""
     import base64
 
     def one(text: str | None) -> float:
         try:
-            parts = [base64.b64decode(p, validate=True) for p in (text or "").split(",") if p]
+            parts = [base64.b64decode("".join(p.split()), validate=True) for p in (text or "").split(",") if p]
             if not parts:
                 return 0.0
             k = min(R.preamble(p)["lg_k"] for p in parts)

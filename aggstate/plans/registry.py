@@ -12,6 +12,11 @@ from aggstate.operators import rollup as U
 from aggstate.operators import states as S
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """A plan boundary: Spark can't have a Python function's result inside a lambda."""
+    return df.mapInArrow(lambda batches: batches, df.schema)
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -128,7 +133,7 @@ def theta_algebra(spark, sf_dir):
 def theta_states(spark, sf_dir):
     """Sketches carried as native states: the prefix is the length, the seed hash and the entries survive."""
     parts = _events(spark, sf_dir).groupBy("channel").agg(F.theta_sketch_agg("user", F.lit(12)).alias("u"))
-    state = parts.select("channel", S.theta_state(F.col("u")).alias("s")).withColumn("body", B.strip_leb128(F.col("s")))
+    state = cut(parts.select("channel", S.theta_state("u").alias("s"))).withColumn("body", B.strip_leb128(F.col("s")))
     return state.select("channel", (B.leb128_value(F.col("s")) == F.octet_length("body")).alias("prefixed"), B.le_uint(F.col("body"), 6, 2).alias("seed_hash"), F.theta_sketch_estimate("body").alias("users"))
 
 
