@@ -18,8 +18,8 @@ Null and empty texts are the end id alone.  Null ids come first; of equal ids, r
 repeated rows are encoded each.  Other columns don't matter.  An empty table writes no shard and gives no rows.
 
 Encoding takes a short cut for texts of plain Latin letters: the tokenizer treats each piece that its own pattern finds
-apart from all others, and none spans white space, so what stands between white space is encoded once by the library and remembered (about
-``CACHE`` entries, then afresh).
+apart from all others, and none spans white space, so what stands between white space is encoded once by the library and
+remembered (about ``CACHE`` entries, then afresh).  Arrow tells a shard's distinct words apart, so Python sees each once.
 Every other text is given to the library whole.
 """
 
@@ -27,29 +27,63 @@ from __future__ import annotations
 
 import functools
 import gc
+import itertools
 import json
 import re
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import arrays_batch, shared_folder, table
+from .common import arrays_batch, blocks, shared_folder, string_buffer, table
 
 END = 2
 SHARD_TOKENS = 2_000_000
-CACHE = 800_000
+CACHE = 1_200_000
 ROUNDS, GAIN, RULES_A_ROUND, LEAST_COUNT = 12, 0.04, 4096, 24
 NO_ID = -(1 << 63)
 _LETTERS = "a-zß-öø-ÿ"
 _ODD = re.compile("[^\t\n\r -~À-ÖØ-öø-ÿ]")
 
 
+class Sequences:
+    """Id sequences, one after another in one array that grows."""
+
+    def __init__(self) -> None:
+        self.n, self.flat, self.edges = 0, np.zeros(1 << 16, np.int32), np.zeros(1 << 14, np.int64)
+
+    def __len__(self) -> int:
+        return self.n
+
+    def __getitem__(self, k: int) -> np.ndarray:
+        return self.flat[self.edges[k] : self.edges[k + 1]].astype(np.int64)
+
+    def add(self, ids, sizes) -> None:
+        at = int(self.edges[self.n])
+        for name, wanted in (("flat", at + len(ids)), ("edges", self.n + len(sizes) + 1)):
+            own = getattr(self, name)
+            if wanted > len(own):
+                setattr(self, name, np.concatenate([own, np.zeros(max(wanted - len(own), len(own)), own.dtype)]))
+        self.flat[at : at + len(ids)] = ids
+        self.edges[self.n + 1 : self.n + 1 + len(sizes)] = at + np.cumsum(sizes)
+        self.n += len(sizes)
+
+    def sizes(self, which: np.ndarray) -> np.ndarray:
+        return self.edges[which + 1] - self.edges[which]
+
+    def of(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of some sequences, joined, and their sizes."""
+        n = self.sizes(which)
+        ends = np.cumsum(n)
+        return self.flat[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(self.edges[which] - ends + n, n)], n
+
+
 class Encoder:
-    """Ids of whole texts, as pieces: each text is a list of numbers of remembered id sequences."""
+    """Ids of whole texts, as pieces: each text is an array of numbers of remembered id sequences."""
 
     def __init__(self, file: str) -> None:
         from tokenizers import Tokenizer
@@ -75,53 +109,66 @@ class Encoder:
         self.fresh()
 
     def fresh(self) -> None:
-        self.number: dict[str, int] = {}
-        self.known: dict[str, np.ndarray] = {}
-        self.ids = [np.array([END], np.int64)]
+        self.number: dict[str, int] = {"": -1}
+        self.ids = Sequences()
+        self.ids.add([END], [1])
 
     def plain(self, text: str) -> bool:
         return self.pieces is not None and not _ODD.search(text) and not any(s in text for s in self.special)
 
+    def _remember(self, pieces: list[str], ids, sizes) -> None:
+        self.number.update(zip(pieces, range(len(self.ids), len(self.ids) + len(pieces)), strict=True))
+        self.ids.add(ids, sizes)
+
     def learn(self, chunks: list[str]) -> None:
         """Remembers the ids of new chunks; the library sees their new pieces parted by spaces, and its word ends part them again."""
-        parts = [[c] if c.isalpha() else self.pieces.findall(c) for c in chunks]  # letters alone are one piece
-        new = list({p for own in parts for p in own}.difference(self.known))
+        new = [c for c in chunks if c.isalpha()]  # letters alone are one piece
+        mixed = list(set(chunks).difference(new))
+        own = list(map(self.pieces.findall, mixed))
+        flow = list(itertools.chain.from_iterable(own))
+        new = list({p for p in flow if p not in self.number}.union(new))
         if self.bytes:  # a byte-level model reads ASCII letters as they are
-            model = self.library.model
-            self.known.update((p, np.array([t.id for t in model.tokenize(p)], np.int64)) for p in new if p.isascii() and p.isalpha())
-            new = [p for p in new if p not in self.known]
+            words = [p for p in new if p.isascii() and p.isalpha()]
+            tokenize = self.library.model.tokenize
+            found = [[t.id for t in tokenize(p)] for p in words]
+            self._remember(words, list(itertools.chain.from_iterable(found)), list(map(len, found)))
+            new = [p for p in new if p not in self.number]
         for lo in range(0, len(new), 4096):
             some = new[lo : lo + 4096]
             got = np.array(self.library.encode(" ".join(some), add_special_tokens=False).ids, np.int64)
-            ends = (np.flatnonzero(self.last[got]) + 1).tolist()
+            ends = np.flatnonzero(self.last[got]) + 1
             if len(ends) == len(some) and ends[-1] == len(got):
-                ids = [got[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+                self._remember(some, got, np.diff(ends, prepend=0))
             else:  # a piece that is no word of its own when it stands alone
-                ids = [np.array(self.library.encode(p, add_special_tokens=False).ids, np.int64) for p in some]
-            self.known.update(zip(some, ids, strict=True))
-        self.number.update(zip(chunks, range(len(self.ids), len(self.ids) + len(chunks)), strict=True))
-        self.ids += [self.known[own[0]] if len(own) == 1 else np.concatenate([self.known[p] for p in own]) for own in parts]
+                found = [self.library.encode(p, add_special_tokens=False).ids for p in some]
+                self._remember(some, list(itertools.chain.from_iterable(found)), list(map(len, found)))
+        ids, sizes = self.ids.of(np.fromiter(map(self.number.__getitem__, flow), np.int64, len(flow)))
+        edges = np.append(0, np.cumsum(sizes))[np.append(0, np.cumsum(np.fromiter(map(len, own), np.int64, len(own))))]
+        self._remember(mixed, ids, np.diff(edges))
 
-    def encode(self, texts: list[str | None]) -> list[list[int]]:
+    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """Numbers in self.ids for each text, 0 (the end) last."""
-        found = [t.lower().split() if t and self.plain(t) else None for t in texts]
-        numbers = [None if f is None else list(map(self.number.get, f)) for f in found]
-        short = [i for i, n in enumerate(numbers) if n and None in n]
-        if short:
-            self.learn(list({c for i in short for c in found[i]}.difference(self.number)))
-            for i in short:
-                numbers[i] = list(map(self.number.__getitem__, found[i]))
-        out = []
-        for text, own in zip(texts, numbers, strict=True):
-            if own is not None:
-                own.append(0)
-                out.append(own)
-            elif not text:
-                out.append([0])
-            else:
-                self.ids.append(np.array(self.library.encode(text, add_special_tokens=False).ids, np.int64))
-                out.append([len(self.ids) - 1, 0])
-        return out
+        odd = np.fromiter((bool(t) and not self.plain(t) for t in texts), bool, len(texts))
+        column = pa.array(["" if o else t or "" for t, o in zip(texts, odd.tolist(), strict=True)], pa.large_string())
+        split = pc.ascii_split_whitespace(pc.utf8_lower(column))  # Arrow tells distinct words apart, Python sees each once
+        coded = split.flatten().dictionary_encode()
+        names = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        numbers = list(map(self.number.get, names))
+        if None in numbers:
+            self.learn([c for c, n in zip(names, numbers, strict=True) if n is None])
+            numbers = list(map(self.number.__getitem__, names))
+        table = np.array(numbers, np.int64)
+        flow = table[coded.indices.to_numpy()]
+        row = np.repeat(np.arange(len(texts)), split.value_lengths().to_numpy())
+        flow, row = flow[flow >= 0], row[flow >= 0]
+        ends = np.cumsum(np.bincount(row, minlength=len(texts)) + 1 + odd)
+        out = np.zeros(int(ends[-1]) if len(ends) else 0, np.int64)
+        out[np.arange(len(flow)) + (np.arange(len(texts)) + np.cumsum(odd))[row]] = flow
+        for i in np.flatnonzero(odd).tolist():
+            whole = self.library.encode(texts[i], add_special_tokens=False).ids
+            out[ends[i] - 2] = len(self.ids)
+            self.ids.add(whole, [len(whole)])
+        return np.split(out, ends[:-1])
 
 
 @functools.cache
@@ -163,7 +210,7 @@ def _replace(sym: np.ndarray, owner: np.ndarray, weight: np.ndarray | None, base
     return sym[keep], owner[keep], len(take) >= GAIN * len(keep)
 
 
-def repair(pieces: list[np.ndarray], texts: list[np.ndarray], base: int, *, least: int = LEAST_COUNT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def repair(pieces: Sequences, texts: list[np.ndarray], base: int, *, least: int = LEAST_COUNT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Grammar of texts (arrays of numbers of pieces): rules (left, right), symbols, and the first symbol of each text with the end."""
     flow = np.concatenate(texts) if texts else np.zeros(0, np.int64)
     counts = np.bincount(flow, minlength=1)
@@ -171,15 +218,14 @@ def repair(pieces: list[np.ndarray], texts: list[np.ndarray], base: int, *, leas
     number = np.zeros(len(counts), np.int64)
     number[present] = np.arange(len(present))
     flow, counts = number[flow], counts[present]
-    own = [pieces[i] for i in present.tolist()]
-    sym = np.concatenate(own) if own else np.zeros(0, np.int64)
-    owner = np.repeat(np.arange(len(own)), [len(x) for x in own])
+    sym, size = pieces.of(present)
+    sym, owner = sym.astype(np.int64), np.repeat(np.arange(len(present)), size)
     rules: list[np.ndarray] = []
     for _ in range(ROUNDS):
         sym, owner, more = _replace(sym, owner, counts, base, rules, least)
         if not more:
             break
-    size = np.bincount(owner, minlength=len(own))
+    size = np.bincount(owner, minlength=len(present))
     start = np.cumsum(size) - size
     spans = size[flow]
     ends = np.cumsum(spans)
@@ -227,7 +273,7 @@ def _lengths(rules: np.ndarray, base: int) -> np.ndarray:
         out = side[0] + side[1]
 
 
-def pack(ids: list[int | None], pieces: list[np.ndarray], texts: list[np.ndarray], base: int) -> tuple[bytes, int]:
+def pack(ids: list[int | None], pieces: Sequences, texts: list[np.ndarray], base: int) -> tuple[bytes, int]:
     """A shard's bytes and how many ids it holds."""
     rules, sym, first = repair(pieces, texts, base)
     lengths = _lengths(rules, base)
@@ -300,13 +346,13 @@ def write(df: DataFrame, folder: str, *, tokenizer: str, id_col: str = "doc_id",
 
         for batch in batches:
             names, column = batch.column("id").to_pylist(), batch.column("text")
-            for lo in range(0, len(names), 256):
-                for name, numbers in zip(names[lo : lo + 256], coder.encode(column.slice(lo, 256).to_pylist()), strict=True):
-                    ids.append(name)
-                    texts.append(np.array(numbers, np.int64))
-                    held += 2 * len(numbers) if len(numbers) > 2 else len(coder.ids[numbers[0]]) + 1
-                    if held >= shard_tokens:
-                        yield shard()
+            for lo, hi in blocks(string_buffer(column)[1], 3 * shard_tokens):  # an id is about three bytes of text
+                own = coder.encode(column.slice(lo, hi - lo).to_pylist())
+                ids += names[lo:hi]
+                texts += own
+                held += int(coder.ids.sizes(np.concatenate(own)).sum())
+                if held >= 0.75 * shard_tokens:
+                    yield shard()
         if ids:
             yield shard()
 
