@@ -14,7 +14,7 @@ at most 65 that name it loses no link of the group.
 
 ``near_duplicates`` finds texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.  At that
 similarity fingerprints of the shingles differ in about ten bits, too many to be searched exactly, so candidates come from
-fingerprints of the words with their counts, which barely move under such edits: three of them, from different hash
+fingerprints of the words with their counts, which barely move under such edits: five of them, from different hash
 seeds, each searched within two bits.  A candidate link must have shingle counts that allow the similarity and
 fingerprints of the shingles within ``FAR`` bits, and is then verified on the whole texts.
 
@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrays_batch, cut, table
+from .common import arrays_batch, cut, mix64, shared_folder, table
 
 BITS = 64
 #: Fingerprints under one index key that are paired with each other; beyond it the linear way is taken.
@@ -181,30 +181,37 @@ def groups(fps: DataFrame, *, radius: int = 2) -> DataFrame:
     return fps.join(named, "fp", "left").select("id", "fp", "component_id")
 
 
-SEEDS = (42, 1042, 2042)
+#: Word-count fingerprints of a text, each of hashes mixed anew.
+SEEDS = (42, 1042, 2042, 3042, 4042)
 #: Differing bits of two texts' shingle fingerprints beyond which a candidate isn't verified; 0.8 gives 10 on average.
 FAR = 24
 
 
-def word_fingerprint(words: list[bytes], seed: int) -> int:
-    """A bit is set if words that set it are more frequent than the others."""
+def word_fingerprints(words: list[bytes]) -> list[int]:
+    """For each seed: a bit is set if words that set it are more frequent than the others."""
     counts = Counter(words)
-    h = np.fromiter(map(xxhash.xxh64_intdigest, counts, itertools.repeat(seed)), np.uint64, len(counts))
-    bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    h = np.fromiter(map(xxhash.xxh64_intdigest, counts), np.uint64, len(counts))
     n = np.fromiter(counts.values(), np.float64, len(counts))
-    return int(np.packbits(n @ bits * 2 > n.sum(), bitorder="little").view(np.int64)[0])
+    sums = np.zeros(BITS * len(SEEDS))
+    for lo in range(0, len(h), 8192):
+        mixed = np.stack([mix64(h[lo : lo + 8192] ^ mix64(np.array([s], np.uint64))) for s in SEEDS], 1)
+        sums += n[lo : lo + 8192] @ np.unpackbits(mixed.view(np.uint8), axis=1, bitorder="little")
+    return np.packbits(sums * 2 > n.sum(), bitorder="little").view(np.int64).tolist()
+
+
+_WORDS = tuple(f"w{k}" for k in range(len(SEEDS)))
 
 
 def _signatures(rows: DataFrame, size: int) -> DataFrame:
-    """(id, text_a, text_b: the word sequence's hashes, n: shingles, fp, w0, w1, w2) for each row of (id, text)."""
-    names = ("text_a", "text_b", "n", "fp", "w0", "w1", "w2")
+    """(id, text_a, text_b: the word sequence's hashes, n: shingles, fp, and _WORDS) for each row of (id, text)."""
+    names = ("text_a", "text_b", "n", "fp", *_WORDS)
 
     def one(text: bytes | None) -> tuple:
         words = (text or b"").lower().split()
         joined = b" ".join(words)
         signed = lambda seed: xxhash.xxh64_intdigest(joined, seed) - (1 << 63)
         h = shingle_hashes(text or b"", size)
-        return signed(1), signed(2), len(np.unique(h)), fingerprint(h), *[word_fingerprint(words, s) if words else 0 for s in SEEDS]
+        return signed(1), signed(2), len(np.unique(h)), fingerprint(h), *word_fingerprints(words)
 
     def run(batches):
         for batch in batches:
@@ -238,9 +245,9 @@ def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     rows = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).filter("id is not null")
     signed = cut(_signatures(rows, size))
     same = ["text_a", "text_b"]
-    kinds = cut(signed.groupBy(*same).agg(F.min("id").alias("node"), *[F.first(c).alias(c) for c in ("n", "fp", "w0", "w1", "w2")]))
+    kinds = cut(signed.groupBy(*same).agg(F.min("id").alias("node"), *[F.first(c).alias(c) for c in ("n", "fp", *_WORDS)]))
     proposed = None
-    for w in ("w0", "w1", "w2"):
+    for w in _WORDS:
         heads = kinds.groupBy(F.col(w).alias("key")).agg(F.min("node").alias("a"), F.count("*").alias("many"))
         inside = kinds.join(heads.filter("many > 1"), kinds[w] == F.col("key")).filter("node > a").select("a", F.col("node").alias("b"))
         between = links(heads.select(F.col("a").alias("node"), F.col("key").alias("fp")))
@@ -251,7 +258,9 @@ def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     proposed = proposed.distinct().join(left, "a").join(right, "b")
     proposed = cut(proposed.filter((F.least("na", "nb") >= least * F.greatest("na", "nb")) & (F.bit_count(F.col("fa").bitwiseXOR(F.col("fb"))) <= FAR)).select("a", "b"))
     wanted = proposed.select(F.col("a").alias("node")).unionByName(proposed.select(F.col("b").alias("node"))).distinct()
-    texts = cut(rows.join(wanted, rows["id"] == wanted["node"]).groupBy("node").agg(F.min("text").alias("text")))
+    place = shared_folder(df.sparkSession, "candidate-texts")
+    rows.join(wanted, rows["id"] == wanted["node"]).groupBy("node").agg(F.min("text").alias("text")).write.parquet(place)
+    texts = df.sparkSession.read.parquet(place)
     pairs = proposed.join(texts.toDF("a", "text_of_a"), "a").join(texts.toDF("b", "text_of_b"), "b")
     found = components(_similar(pairs, size, least))
     named = kinds.join(found, "node", "left").select(*same, F.coalesce("component", "node").alias("component_id"))
