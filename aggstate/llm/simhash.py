@@ -16,7 +16,9 @@ at most 65 that name it loses no link of the group.
 similarity fingerprints of the shingles differ in about ten bits, too many to be searched exactly, so candidates come from
 fingerprints of the words with their counts, which barely move under such edits: five of them, from different hash
 seeds, each searched within two bits.  A candidate link must have shingle counts that allow the similarity and
-fingerprints of the shingles within ``FAR`` bits, and is then verified on the whole texts.
+fingerprints of the shingles within ``FAR`` bits, and is then verified on the whole texts.  Every group found is right, but
+the search isn't exact: links that move all five fingerprints by more than two bits are missed, and so can be links
+between texts that only a dissimilar text of the same crowded fingerprint connects.
 
 Groups are connected components by alternating large-star and small-star steps, each cut to the shared folder.
 """
@@ -251,7 +253,7 @@ def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
         heads = kinds.groupBy(F.col(w).alias("key")).agg(F.min("node").alias("a"), F.count("*").alias("many"))
         inside = kinds.join(heads.filter("many > 1"), kinds[w] == F.col("key")).filter("node > a").select("a", F.col("node").alias("b"))
         between = links(heads.select(F.col("a").alias("node"), F.col("key").alias("fp")))
-        found = inside.unionByName(between)
+        found = cut(inside.unionByName(between))  # one fingerprint at a time holds less memory and is no lineage to repeat
         proposed = found if proposed is None else proposed.unionByName(found)
     facts = kinds.select("node", "n", "fp")
     left, right = facts.toDF("a", "na", "fa"), facts.toDF("b", "nb", "fb")
