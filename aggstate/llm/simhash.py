@@ -12,13 +12,12 @@ is linear.  Every one of them names the 65 fingerprints within one bit of itself
 at most two bits, and any two that differ in at most two bits name a common one, so linking them to the smallest of the
 at most 65 that name it loses no link of the group.
 
-``near_duplicates`` finds texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.  At that
-similarity fingerprints of the shingles differ in about ten bits, too many to be searched exactly, so candidates come from
-fingerprints of the words with their counts, which barely move under such edits: five of them, from different hash
-seeds, each searched within two bits.  A candidate link must have shingle counts that allow the similarity and
-fingerprints of the shingles within ``FAR`` bits, and is then verified on the whole texts.  Every group found is right, but
-the search isn't exact: links that move all five fingerprints by more than two bits are missed, and so can be links
-between texts that only a dissimilar text of the same crowded fingerprint connects.
+``near_duplicates`` finds texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more, exactly, by
+prefixes: shingles have one order for all texts, frequent ones last, and two texts that are similar enough share one of
+the first ``n - ceil(0.8 n) + 1`` shingles of either.  Pairs that share one must have places and numbers of shingles, then
+histograms of the hashes, that allow the similarity, and are then verified on the whole texts.  The members of a key that
+more than ``CROWD`` texts share are first verified against the smallest; then all pairs under it that no links connect
+so far are paired, in slices, so none is lost to a dissimilar head.
 
 Groups are connected components by alternating large-star and small-star steps, each cut to the shared folder.
 """
@@ -26,15 +25,15 @@ Groups are connected components by alternating large-star and small-star steps,
 from __future__ import annotations
 
 import itertools
-from collections import Counter
+import math
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import arrays_batch, cut, mix64, shared_folder, table
+from .common import arrays_batch, cut, shared_folder, table
 
 BITS = 64
 #: Fingerprints under one index key that are paired with each other; beyond it the linear way is taken.
@@ -183,44 +182,76 @@ def groups(fps: DataFrame, *, radius: int = 2) -> DataFrame:
     return fps.join(named, "fp", "left").select("id", "fp", "component_id")
 
 
-#: Word-count fingerprints of a text, each of hashes mixed anew.
-SEEDS = (42, 1042, 2042, 3042, 4042)
-#: Differing bits of two texts' shingle fingerprints beyond which a candidate isn't verified; 0.8 gives 10 on average.
-FAR = 24
+#: One text in so many is asked which shingles are frequent; one found in FREQUENT of them or more goes to the end of the order.
+SAMPLE, FREQUENT = 16, 4
+#: Rows of a crowded key that one task pairs with all others of the key.
+SLICE = 512
 
 
-def word_fingerprints(words: list[bytes]) -> list[int]:
-    """For each seed: a bit is set if words that set it are more frequent than the others."""
-    counts = Counter(words)
-    h = np.fromiter(map(xxhash.xxh64_intdigest, counts), np.uint64, len(counts))
-    n = np.fromiter(counts.values(), np.float64, len(counts))
-    sums = np.zeros(BITS * len(SEEDS))
-    for lo in range(0, len(h), 8192):
-        mixed = np.stack([mix64(h[lo : lo + 8192] ^ mix64(np.array([s], np.uint64))) for s in SEEDS], 1)
-        sums += n[lo : lo + 8192] @ np.unpackbits(mixed.view(np.uint8), axis=1, bitorder="little")
-    return np.packbits(sums * 2 > n.sum(), bitorder="little").view(np.int64).tolist()
+def _frequent(rows: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of frequent shingles and their counts in a sample of the texts.  Only the order of shingles rests on it."""
 
+    def run(batches):
+        for batch in batches:
+            found = [np.unique(shingle_hashes(t or b"", size)) for t in batch.column("text").cast(pa.binary()).to_pylist()]
+            yield arrays_batch({"w": pa.array(np.concatenate([np.zeros(0, np.uint64), *found]).view(np.int64))})
+
+    some = rows.select("text").filter(F.pmod(F.xxhash64("text"), F.lit(SAMPLE)) == 0).distinct()
+    counts = some.mapInArrow(run, "w bigint").groupBy("w").agg(F.count("*").alias("n")).filter(F.col("n") >= FREQUENT).toArrow()
+    w, n = counts.column("w").to_numpy().astype(np.int64).view(np.uint64), counts.column("n").to_numpy().astype(np.int64)
+    order = np.argsort(w)
+    return w[order], n[order]
+
+
+def prefix(h: np.ndarray, least: float, hot: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The first shingles of a text (h: sorted, distinct) in one order for all texts: by hash, the frequent ones behind by count and hash.
 
-_WORDS = tuple(f"w{k}" for k in range(len(SEEDS)))
+    Sets of similarity least or more share at least least * n shingles of either, so their prefixes share one.
+    """
+    need = len(h) - math.ceil(least * len(h) - 1e-9) + 1 if len(h) else 0
+    if not len(hot):
+        return h[:need]
+    at = np.minimum(np.searchsorted(hot, h), len(hot) - 1)
+    often = hot[at] == h
+    rare = h[~often][:need]
+    if len(rare) == need:
+        return rare
+    behind = h[often]
+    return np.append(rare, behind[np.argsort(count[at[often]], kind="stable")][: need - len(rare)])
+
+
+def _signatures(rows: DataFrame, size: int, least: float) -> DataFrame:
+    """(id, text_a, text_b: the word sequence's hashes, n: shingles, hist: their number by first byte of the hash, at most 255, firsts: their prefix)."""
+    shared = rows.sparkSession.sparkContext.broadcast(_frequent(rows, size))
+
+    def run(batches):
+        for batch in batches:
+            columns = [[] for _ in range(5)]
+            for text in batch.column("text").cast(pa.binary()).to_pylist():
+                joined = b" ".join((text or b"").lower().split())
+                h = np.unique(shingle_hashes(text or b"", size))
+                hist = np.minimum(np.bincount((h >> np.uint64(56)).astype(np.int64), minlength=256), 255).astype(np.uint8)
+                firsts = prefix(h, least, *shared.value).view(np.int64)
+                for c, v in zip(columns, (xxhash.xxh64_intdigest(joined, 1) - (1 << 63), xxhash.xxh64_intdigest(joined, 2) - (1 << 63), len(h), hist.tobytes(), firsts), strict=True):
+                    c.append(v)
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()))
+            yield arrays_batch({"id": batch.column("id")} | {k: pa.array(v, t) for k, v, t in zip(("text_a", "text_b", "n", "hist", "firsts"), columns, kinds, strict=True)})
 
+    return rows.mapInArrow(run, "id bigint, text_a bigint, text_b bigint, n bigint, hist binary, firsts array<bigint>")
 
-def _signatures(rows: DataFrame, size: int) -> DataFrame:
-    """(id, text_a, text_b: the word sequence's hashes, n: shingles, fp, and _WORDS) for each row of (id, text)."""
-    names = ("text_a", "text_b", "n", "fp", *_WORDS)
 
-    def one(text: bytes | None) -> tuple:
-        words = (text or b"").lower().split()
-        joined = b" ".join(words)
-        signed = lambda seed: xxhash.xxh64_intdigest(joined, seed) - (1 << 63)
-        h = shingle_hashes(text or b"", size)
-        return signed(1), signed(2), len(np.unique(h)), fingerprint(h), *word_fingerprints(words)
+def _possible(pairs: DataFrame, hists: DataFrame, least: float) -> DataFrame:
+    """(a, b) of the pairs whose histograms allow the similarity: their difference is at most that of the sets."""
 
     def run(batches):
         for batch in batches:
-            columns = list(zip(*map(one, batch.column("text").cast(pa.binary()).to_pylist()), strict=True)) or [[]] * len(names)
-            yield arrays_batch({"id": batch.column("id")} | {k: pa.array(v, pa.int64()) for k, v in zip(names, columns, strict=True)})
+            if batch.num_rows:
+                x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(-1, 256).astype(np.int64) for k in ("ha", "hb"))
+                most = (batch.column("na").to_numpy() + batch.column("nb").to_numpy()) * ((1 - least) / (1 + least))
+                yield batch.select(["a", "b"]).filter(pa.array(np.abs(x - y).sum(1) <= most + 1e-6))
 
-    return rows.mapInArrow(run, "id bigint, " + ", ".join(f"{k} bigint" for k in names))
+    full = pairs.distinct().join(hists.toDF("a", "na", "ha"), "a").join(hists.toDF("b", "nb", "hb"), "b")
+    return full.select("a", "b", "na", "nb", "ha", "hb").mapInArrow(run, "a bigint, b bigint")
 
 
 def _similar(pairs: DataFrame, size: int, least: float) -> DataFrame:
@@ -232,41 +263,60 @@ def _similar(pairs: DataFrame, size: int, least: float) -> DataFrame:
             for x, y in zip(*(batch.column(k).cast(pa.binary()).to_pylist() for k in ("text_of_a", "text_of_b")), strict=True):
                 left, right = set(shingle_hashes(x or b"", size).tolist()), set(shingle_hashes(y or b"", size).tolist())
                 both = len(left & right)
-                keep.append(both >= least * (len(left) + len(right) - both))
+                keep.append(both >= least * (len(left) + len(right) - both) - 1e-9)
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return pairs.select("a", "b", "text_of_a", "text_of_b").mapInArrow(run, "a bigint, b bigint")
 
 
-def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 5, least: float = 0.8) -> DataFrame:
+def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 5, least: float = 0.8, crowd: int = CROWD) -> DataFrame:
     """(id, component_id) for each row of df with an id: the smallest id of its group of equal and near-duplicate texts.
 
     Texts are equal if their words are, with A-Z lower-cased.  Null and empty texts are equal.  A row whose id stands in
     df before with another text is a document of its own here.
     """
     rows = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).filter("id is not null")
-    signed = cut(_signatures(rows, size))
+    signed = cut(_signatures(rows, size, least))
     same = ["text_a", "text_b"]
-    kinds = cut(signed.groupBy(*same).agg(F.min("id").alias("node"), *[F.first(c).alias(c) for c in ("n", "fp", *_WORDS)]))
-    proposed = None
-    for w in _WORDS:
-        heads = kinds.groupBy(F.col(w).alias("key")).agg(F.min("node").alias("a"), F.count("*").alias("many"))
-        inside = kinds.join(heads.filter("many > 1"), kinds[w] == F.col("key")).filter("node > a").select("a", F.col("node").alias("b"))
-        between = links(heads.select(F.col("a").alias("node"), F.col("key").alias("fp")))
-        found = cut(inside.unionByName(between))  # one fingerprint at a time holds less memory and is no lineage to repeat
-        proposed = found if proposed is None else proposed.unionByName(found)
-    facts = kinds.select("node", "n", "fp")
-    left, right = facts.toDF("a", "na", "fa"), facts.toDF("b", "nb", "fb")
-    proposed = proposed.distinct().join(left, "a").join(right, "b")
-    proposed = cut(proposed.filter((F.least("na", "nb") >= least * F.greatest("na", "nb")) & (F.bit_count(F.col("fa").bitwiseXOR(F.col("fb"))) <= FAR)).select("a", "b"))
-    wanted = proposed.select(F.col("a").alias("node")).unionByName(proposed.select(F.col("b").alias("node"))).distinct()
-    place = shared_folder(df.sparkSession, "candidate-texts")
-    rows.join(wanted, rows["id"] == wanted["node"]).groupBy("node").agg(F.min("text").alias("text")).write.parquet(place)
-    texts = df.sparkSession.read.parquet(place)
-    pairs = proposed.join(texts.toDF("a", "text_of_a"), "a").join(texts.toDF("b", "text_of_b"), "b")
-    found = components(_similar(pairs, size, least))
+    kinds = cut(signed.groupBy(*same).agg(F.min("id").alias("node"), *[F.first(c).alias(c) for c in ("n", "hist", "firsts")]))
+    hists = kinds.select("node", "n", "hist")
+    entries = kinds.select("node", "n", F.posexplode("firsts").alias("at", "w"))
+    keyed = cut(entries.withColumn("many", F.count("*").over(Window.partitionBy("w"))).filter("many > 1"))
+
+    def sides(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        return tuple(rows.select(*[c for c in rows.columns if c not in ("node", "n", "at", "part")], *[F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "at", "part") if c in rows.columns]) for x in "ab")
+
+    def allowed(pairs: DataFrame) -> DataFrame:
+        """A link's first shared shingle is a key of both, and all others stand behind it in both; under some key it passes this."""
+        most = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))
+        return pairs.filter(most >= (F.col("n_a") + F.col("n_b")) * (least / (1 + least)) - 1e-6).select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        pairs = cut(_possible(pairs, hists, least))
+        wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+        place = shared_folder(df.sparkSession, "candidate-texts")
+        rows.join(wanted, rows["id"] == wanted["node"]).groupBy("node").agg(F.min("text").alias("text")).write.parquet(place)
+        texts = df.sparkSession.read.parquet(place)
+        return cut(_similar(pairs.join(texts.toDF("a", "text_of_a"), "a").join(texts.toDF("b", "text_of_b"), "b"), size, least))
+
+    left, right = sides(keyed.filter(F.col("many") <= crowd).drop("many"))
+    crowded = keyed.filter(F.col("many") > crowd)
+    heads = crowded.groupBy("w").agg(F.min("node").alias("a"))
+    stars = crowded.join(heads, "w").filter("node > a").select("a", F.col("node").alias("b"))
+    near = verified(allowed(left.join(right, "w").filter("node_a < node_b")).unionByName(stars))
+    found = cut(components(near))
+    # what the stars of crowded keys have not connected is paired in full
+    parted = crowded.join(found, "node", "left").withColumn("part", F.coalesce("component", "node")).drop("component")
+    open_keys = parted.groupBy("w").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).filter("lo < hi").select("w")
+    parted = cut(parted.join(open_keys, "w").withColumn("slices", F.ceil(F.col("many") / SLICE)).drop("many"))
+    left, right = sides(parted)
+    left = left.withColumn("slice", F.pmod(F.xxhash64("node_a"), "slices")).drop("slices")
+    right = right.withColumn("slice", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("slices") - 1))).drop("slices")
+    cross = cut(allowed(left.join(right, ["w", "slice"]).filter("part_a < part_b")).distinct())
+    if not cross.isEmpty():
+        found = components(near.unionByName(verified(cross)))
     named = kinds.join(found, "node", "left").select(*same, F.coalesce("component", "node").alias("component_id"))
-    return signed.join(named, same).select("id", "component_id")
+    return signed.select("id", *same).join(named, same).select("id", "component_id")
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -150,6 +150,35 @@ def test_near_duplicate_stage(spark, odd):
     assert kept.columns == odd.columns and sorted((r.doc_id or 0) for r in kept.collect()) == [0, 1, 4, 5, 8, 9]
 
 
+def blocks_of_words(rng, n):
+    return [f"t{x}" for x in rng.integers(0, 1 << 40, n)]
+
+
+def near_by_brute_force(texts):
+    sets = {i: set(simhash.shingle_hashes(t.encode(), 5).tolist()) for i, t in texts}
+    near = [(i, j) for i, j in itertools.combinations(sets, 2) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    return connected(sets, near), near
+
+
+@pytest.mark.parametrize("more", [{}, {"crowd": 1}])
+def test_near_duplicates_behind_a_dissimilar_head(spark, more):
+    """Table-like texts, all of one word fingerprint, with one-word copies; and a crowd that shares most, but not enough, with its head."""
+    rng = np.random.default_rng(5)
+    texts = []
+    for _ in range(30):
+        words = [x for w in blocks_of_words(rng, 60) for x in (w, "|", "|")]
+        texts += [" ".join(words), " ".join([*words[:90], "changed", *words[91:]])]
+    shared = blocks_of_words(rng, 100)
+    for _ in range(40):
+        tail = blocks_of_words(rng, 30)
+        texts += [" ".join(shared + tail), " ".join([*shared, *tail[:-1], "other"])]
+    texts = list(enumerate(texts))
+    want, near = near_by_brute_force(texts)
+    assert len(set(want.values())) == 70
+    got = dict(map(tuple, simhash.near_duplicates(spark.createDataFrame(texts, "doc_id bigint, text string"), **more).collect()))
+    assert got == want
+
+
 def test_kneser_ney_by_brute_force(spark, docs, odd):
     got = {r.doc_id: r for r in kneser_ney.op5_lm_scoring(spark, SF).collect()}
     texts = {i: [*tokens(t), "</s>"] for i, t in docs}
