@@ -12,7 +12,8 @@ Candidates are verified by the exact similarity (0.8 or more); of an item's wind
 kept, of equals the first.
 
 Null and empty texts and items match nothing.  Repeated rows are answered each.  Items are read in blocks of at most
-``ITEMS`` items and about ``BLOCK_CHARS`` characters, and each block is held against all rows; one block is broadcast.
+``ITEMS`` items and about ``BLOCK_CHARS`` characters, and each block is held against all rows; one block is broadcast,
+with the df over all items of every shingle that more than one item has.
 """
 
 from __future__ import annotations
@@ -51,31 +52,56 @@ def pack(sums: np.ndarray) -> np.ndarray:
     return np.packbits(np.round(sums, 6) > 0, axis=1, bitorder="little").view(U64).ravel()
 
 
+def item_shingles(text: str, size: int) -> tuple[int, int, np.ndarray]:
+    """(words in a shingle, words, shingles) of an item."""
+    data = np.frombuffer(text.encode(), np.uint8)
+    words = words_of(data, np.array([0, len(data)]), *byte_class(NOT_ALPHANUMERIC))[0]
+    k = min(size, len(words))
+    return k, len(words), shingles(words, k)
+
+
+def repeated_shingles(items: DataFrame, size: int = SHINGLE) -> dict[int, dict[int, int]]:
+    """By shingle size: in how many of all items (text) a shingle is, for those in more than one."""
+
+    def run(batches):
+        for batch in batches:
+            found = [(k, np.unique(h)) for k, _, h in (item_shingles(t, size) for t in batch.column("text").to_pylist())]
+            k = np.concatenate([np.zeros(0, np.int32), *[np.full(len(h), k, np.int32) for k, h in found]])
+            yield arrays_batch({"k": k, "w": np.concatenate([np.zeros(0, U64), *[h for _, h in found]]).view(np.int64)})
+
+    counts = items.select("text").mapInArrow(run, "k int, w bigint").groupBy("k", "w").agg(F.count("*").alias("n")).filter("n > 1").toArrow()
+    out: dict[int, dict[int, int]] = {}
+    for k, w, n in zip(counts.column("k").to_pylist(), counts.column("w").to_numpy().astype(np.int64).view(U64).tolist(), counts.column("n").to_pylist(), strict=True):
+        out.setdefault(k, {})[w] = n
+    return out
+
+
 class Index:
     """What one block of items needs: shingles with weights and places, fingerprints, and the multi-index blocks, by shingle size."""
 
-    def __init__(self, items: list[tuple[int, str]], size: int = SHINGLE, radius: int = RADIUS, total: int | None = None, df: dict | None = None) -> None:
-        lower, word = byte_class(NOT_ALPHANUMERIC)
+    def __init__(self, items: list[tuple[int, str]], size: int = SHINGLE, radius: int = RADIUS, total: int | None = None, df: dict[int, dict[int, int]] | None = None) -> None:
+        """df: what repeated_shingles gives over all items, if these are only some of them."""
         self.size, self.radius, self.parts = size, radius, {}
         by_size: dict[int, list] = {}
         for item, text in items:
-            data = np.frombuffer(text.encode(), np.uint8)
-            words = words_of(data, np.array([0, len(data)]), lower, word)[0]
-            if len(words):
-                by_size.setdefault(min(size, len(words)), []).append((item, len(words), shingles(words, min(size, len(words)))))
+            k, words, h = item_shingles(text, size)
+            if words:
+                by_size.setdefault(k, []).append((item, words, h))
         total = total or sum(map(len, by_size.values()))
         for k, members in by_size.items():
-            counts = Counter(x for _, _, h in members for x in set(h.tolist())) if df is None else df
+            counts = Counter(x for _, _, h in members for x in set(h.tolist())) if df is None else df.get(k, {})
             part = {"ids": [m[0] for m in members], "words": np.array([m[1] for m in members]), "bags": [Counter(m[2].tolist()) for m in members]}
             pairs = np.array([(x, i) for i, m in enumerate(members) for x in set(m[2].tolist())], dtype=U64).reshape(-1, 2)
             pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
             part["keys"], first = np.unique(pairs[:, 0], return_index=True)
             part["first"], part["owner"] = np.append(first, len(pairs)), pairs[:, 1].astype(np.int64)
-            part["weight"] = np.array([1 + math.log(total / max(1, counts[x])) for x in part["keys"].tolist()])
             part["rare"] = 1 + math.log(total)
+            often = sorted(x for x, n in counts.items() if n > 1)  # of other blocks' items too; all others weigh as rare ones
+            part["often"] = np.array(often, U64)
+            part["weight"] = np.array([1 + math.log(total / counts[x]) for x in often])
             part["sieve"] = np.zeros(1 << _SIEVE, bool)
             part["sieve"][(part["keys"] >> U64(64 - _SIEVE)).astype(np.int64)] = True
-            part["lookup"] = dict(zip(part["keys"].tolist(), part["weight"].tolist(), strict=True))
+            part["lookup"] = dict(zip(often, part["weight"].tolist(), strict=True))
             prints = np.concatenate([pack((signs(m[2]) * self.weights(part, m[2])[:, None]).sum(0, keepdims=True)) for m in members])
             part["prints"] = prints
             probes = np.zeros((8, 256, len(members)), bool)
@@ -90,14 +116,16 @@ class Index:
 
     @staticmethod
     def weights(part: dict, h: np.ndarray) -> np.ndarray:
-        at = np.minimum(np.searchsorted(part["keys"], h), len(part["keys"]) - 1)
-        return np.where(part["keys"][at] == h, part["weight"][at], part["rare"])
+        if not len(part["often"]):
+            return np.full(len(h), part["rare"])
+        at = np.minimum(np.searchsorted(part["often"], h), len(part["often"]) - 1)
+        return np.where(part["often"][at] == h, part["weight"][at], part["rare"])
 
     def similarity(self, part: dict, item: int, window: list[int]) -> float:
         """Weighted Jaccard similarity of a window's shingles with an item's."""
         bag, own, look, rare = part["bags"][item], Counter(window), part["lookup"], part["rare"]
-        low = sum(look[x] * min(n, own[x]) for x, n in bag.items() if x in own)
-        high = sum(look[x] * max(n, own.get(x, 0)) for x, n in bag.items()) + sum(look.get(x, rare) * n for x, n in own.items() if x not in bag)
+        low = sum(look.get(x, rare) * min(n, own[x]) for x, n in bag.items() if x in own)
+        high = sum(look.get(x, rare) * max(n, own.get(x, 0)) for x, n in bag.items()) + sum(look.get(x, rare) * n for x, n in own.items() if x not in bag)
         return low / high
 
     def row(self, part: dict, k: int, h: np.ndarray, hits: np.ndarray, least: float) -> list[tuple[int, int, int, int, float]]:
@@ -163,10 +191,11 @@ def matches(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_c
     size = rows.agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("chars")).first()
     parts = max(1, -(-size["n"] // ITEMS), -(-(size["chars"] or 0) // BLOCK_CHARS))
     chosen = docs.select(F.col(id_col).cast("bigint").alias("id"), F.lower(F.col(text_col)).alias("text"))
+    df = repeated_shingles(rows) if parts > 1 else None
     out = None
     for b in range(parts):
         own = rows if parts == 1 else rows.filter(F.pmod(F.xxhash64("item"), F.lit(parts)) == b)
-        index = Index([(r["item"], r["text"]) for r in own.orderBy("item", "text").collect()], radius=radius, total=size["n"])
+        index = Index([(r["item"], r["text"]) for r in own.orderBy("item", "text").collect()], radius=radius, total=size["n"], df=df)
         shared = spark.sparkContext.broadcast(index)
 
         def run(batches, shared=shared):

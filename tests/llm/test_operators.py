@@ -356,6 +356,23 @@ def test_decontamination_by_brute_force(spark, odd):
     assert sorted((r.doc_id or 0) for r in decontaminate.stage(spark, odd, SF).collect()) == sorted((d or 0) for d, *_ in ODD)
 
 
+def test_decontamination_blocks_agree(spark, monkeypatch):
+    """Document frequencies count over all items: several blocks of items give the rows that one gives."""
+    rng = np.random.default_rng(2)
+    preamble, items, rows = [f"common{i}" for i in range(40)], [(100, "two words"), (101, "two words"), (102, "")], []
+    for i in range(64):
+        own = [f"own{x}" for x in rng.integers(0, 1 << 40, 20)]
+        items.append((i, " ".join(preamble + own)))
+        changed = 20 - i % 16
+        rows.append((i, " ".join(["before", *preamble, *own[:changed], *[f"new{k}" for k in range(20 - changed)], "after"])))
+    rows.append((100, "here two words stand"))
+    docs, items = spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    find = lambda: sorted((*r[:5], round(r.similarity, 9)) for r in decontaminate.matches(docs, items).collect())
+    one = find()
+    monkeypatch.setattr(decontaminate, "ITEMS", 8)
+    assert len(one) > 16 and find() == one
+
+
 def test_multi_index_blocks_find_all_in_the_radius():
     rng = np.random.default_rng(1)
     index = decontaminate.Index([(i, " ".join(map(str, rng.integers(0, 10**6, 12)))) for i in range(50)])
