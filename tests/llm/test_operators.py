@@ -179,6 +179,18 @@ def test_near_duplicates_behind_a_dissimilar_head(spark, more):
     assert got == want
 
 
+def test_near_duplicates_by_blocks(spark):
+    """Copies with a block cut off or added and with a repeated line, against brute force."""
+    rng, texts = np.random.default_rng(6), []
+    for n in (20, 45, 100, 300) * 6:
+        w = blocks_of_words(rng, n)
+        texts += [w, w[: n - n // 6], [*w, *blocks_of_words(rng, n // 6)], [*w, *w[: n // 2] * 3]]
+    texts = list(enumerate(map(" ".join, texts)))
+    want, near = near_by_brute_force(texts)
+    assert len(near) > 48
+    assert dict(map(tuple, simhash.near_duplicates(spark.createDataFrame(texts, "doc_id bigint, text string")).collect())) == want
+
+
 def test_kneser_ney_by_brute_force(spark, docs, odd):
     got = {r.doc_id: r for r in kneser_ney.op5_lm_scoring(spark, SF).collect()}
     texts = {i: [*tokens(t), "</s>"] for i, t in docs}
