@@ -19,15 +19,29 @@ from pyspark.sql import DataFrame, SparkSession
 U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C55
 _INVERSE = pow(_BASE, -1, 1 << 64)
+#: Rows of an Arrow batch.  Spark counts rows, not bytes, and texts are long: its 10,000 would be tens of megabytes in each of several buffers.
+BATCH_ROWS = 1024
+#: Rows of a few numbers each that may be broadcast after counting them: at most 16 MB.
+BROADCAST_ROWS = 1 << 19
 #: Bytes hashed at a time: small enough for the arrays to stay in a core's cache.
 CHUNK = 1 << 19
 
 
+def text_batches(spark: SparkSession) -> None:
+    """Lowers the session's Arrow batches to BATCH_ROWS rows, unless they are smaller already."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, BATCH_ROWS)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a folder of our own only where none is set."""
+    """The shared folder the cluster names; a folder of our own only where none is set and all runs on one machine."""
+    text_batches(spark)
     folder = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
+        if not folder and not context.master.startswith("local"):
+            raise ValueError("a cluster must name its shared folder in spark.checkpoint.dir")
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="aggstate-checkpoint-"))
     return folder or context._jsc.sc().getCheckpointDir().get()
 
@@ -38,15 +52,35 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def few(df: DataFrame) -> DataFrame:
+    """df (written already, rows of a few numbers) for a join: broadcast if it has at most BROADCAST_ROWS rows, else as it is."""
+    from pyspark.sql import functions as F
+
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder name (URI) below the shared folder."""
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    """Deletes a folder of ours below the shared folder once nothing is read from it any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    text_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def masked(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """df with its columns named by number, so that no name can clash with a helper's, and the new name of each."""
+    names = {name: f"__c{i}" for i, name in enumerate(df.columns)}
+    return df.toDF(*names.values()), names
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser (bijective)."""
     x = x ^ (x >> U64(33))
@@ -98,8 +132,46 @@ def blocks(offsets: np.ndarray, limit: int = CHUNK) -> Iterator[tuple[int, int]]
         row = to
 
 
+def portions(batch: pa.RecordBatch, *columns: str, limit: int = 8 * CHUNK) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about limit bytes of text in columns, so that Python holds no whole batch of strings."""
+    if batch.num_rows:
+        for lo, hi in blocks(np.sum([string_buffer(batch.column(c))[1] for c in columns], axis=0), limit):
+            yield batch.slice(lo, hi - lo)
+
+
+def _pieces(raw: np.ndarray, firsts: np.ndarray, word: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of raw of about CHUNK bytes that part no word; firsts: where rows begin, ascending."""
+    lo = 0
+    while lo < len(raw):
+        hi = lo + CHUNK
+        k = int(np.searchsorted(firsts, hi))
+        row = int(firsts[k]) if k < len(firsts) else len(raw)
+        while hi < row:  # the next place outside a word, but not beyond the row
+            free = np.flatnonzero(~word[raw[hi : min(row, hi + 4096)]])
+            if len(free):
+                row = hi + int(free[0])
+            else:
+                hi += 4096
+        yield lo, min(row, len(raw))
+        lo = min(row, len(raw))
+
+
 def words_of(data: np.ndarray, offsets: np.ndarray, lower: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Every word of the rows whose bytes are data[offsets[0]:offsets[-1]]: hash, row, start and end byte (from offsets[0])."""
+    """Every word of the rows whose bytes are data[offsets[0]:offsets[-1]]: hash, row, start and end byte (from offsets[0]).
+
+    Long rows are read in pieces, so the working arrays are those of a few chunks (or of the longest word), not of the row.
+    """
+    base, total = int(offsets[0]), int(offsets[-1] - offsets[0])
+    if total <= 2 * CHUNK:
+        return _words_of(data, offsets, lower, word)
+    found = []
+    for lo, hi in _pieces(data[base : base + total], np.unique(offsets - base), word):
+        own, row, starts, ends = _words_of(data, np.clip(offsets, base + lo, base + hi), lower, word)
+        found.append((own, row, starts + lo, ends + lo))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
+def _words_of(data: np.ndarray, offsets: np.ndarray, lower: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, ...]:
     base, total = int(offsets[0]), int(offsets[-1] - offsets[0])
     rows = len(offsets) - 1
     if total == 0:

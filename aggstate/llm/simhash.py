@@ -14,10 +14,10 @@ at most 65 that name it loses no link of the group.
 
 ``near_duplicates`` finds texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more, exactly, by
 prefixes: shingles have one order for all texts, frequent ones last, and two texts that are similar enough share one of
-the first ``n - ceil(0.8 n) + 1`` shingles of either.  Pairs that share one must have places and numbers of shingles, then
-histograms of the hashes, that allow the similarity, and are then verified on the whole texts.  The members of a key that
-more than ``CROWD`` texts share are first verified against the smallest; then all pairs under it that no links connect
-so far are paired, in slices, so none is lost to a dissimilar head.
+the first ``n - ceil(0.8 n) + 1`` shingles of either.  The members of every key are first held against its smallest one.
+Where that leaves members of a key unconnected, all pairs among them are looked at, in blocks of ``SLICE`` members against
+the others, and no pair is handed out that places, numbers and parity bitmaps of the shingles rule out; so nothing is lost
+to a dissimilar head.  Every candidate is verified on the whole texts, unless other links connect its ends already.
 
 Groups are connected components by alternating large-star and small-star steps, each cut to the shared folder.
 """
@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import arrays_batch, cut, shared_folder, table
+from .common import arrays_batch, cut, few, portions, remove, shared_folder, table
 
 BITS = 64
 #: Fingerprints under one index key that are paired with each other; beyond it the linear way is taken.
@@ -69,7 +69,7 @@ def fingerprints(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     """(id, fp) for each row; null and empty texts have fingerprint zero.  Only the two named columns are read."""
 
     def run(batches):
-        for batch in batches:
+        for batch in (p for b in batches for p in portions(b, "text")):
             fps = [fingerprint(shingle_hashes(t or b"", size)) for t in batch.column("text").cast(pa.binary()).to_pylist()]
             yield arrays_batch({"id": batch.column("id"), "fp": pa.array(fps, pa.int64())})
 
@@ -182,140 +182,254 @@ def groups(fps: DataFrame, *, radius: int = 2) -> DataFrame:
     return fps.join(named, "fp", "left").select("id", "fp", "component_id")
 
 
-#: One text in so many is asked which shingles are frequent; one found in FREQUENT of them or more goes to the end of the order.
-SAMPLE, FREQUENT = 16, 4
-#: Rows of a crowded key that one task pairs with all others of the key.
+#: One text in so many is asked which shingles are frequent; of those found in FREQUENT of them or more, the MOST_FREQUENT commonest
+#: go to the end of the order (a megabyte to each worker, whatever the input's size).
+SAMPLE, FREQUENT, MOST_FREQUENT = 16, 4, 1 << 16
+#: Members of a key that one block holds in memory against all others of the key.
 SLICE = 512
+#: Bits of the parity bitmaps that blocks compare; whole bitmaps have this many or more.
+BLOCK_BITS = 1024
 
 
 def _frequent(rows: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted hashes of frequent shingles and their counts in a sample of the texts.  Only the order of shingles rests on it."""
+    """Sorted hashes of at most MOST_FREQUENT common shingles and their counts in a sample of the texts.  Only the order of shingles rests on it."""
 
     def run(batches):
-        for batch in batches:
+        for batch in (p for b in batches for p in portions(b, "text")):
             found = [np.unique(shingle_hashes(t or b"", size)) for t in batch.column("text").cast(pa.binary()).to_pylist()]
             yield arrays_batch({"w": pa.array(np.concatenate([np.zeros(0, np.uint64), *found]).view(np.int64))})
 
     some = rows.select("text").filter(F.pmod(F.xxhash64("text"), F.lit(SAMPLE)) == 0).distinct()
-    counts = some.mapInArrow(run, "w bigint").groupBy("w").agg(F.count("*").alias("n")).filter(F.col("n") >= FREQUENT).toArrow()
+    counts = some.mapInArrow(run, "w bigint").groupBy("w").agg(F.count("*").alias("n")).filter(F.col("n") >= FREQUENT)
+    counts = counts.orderBy(F.desc("n"), "w").limit(MOST_FREQUENT).toArrow()
     w, n = counts.column("w").to_numpy().astype(np.int64).view(np.uint64), counts.column("n").to_numpy().astype(np.int64)
     order = np.argsort(w)
     return w[order], n[order]
 
 
-def prefix(h: np.ndarray, least: float, hot: np.ndarray, count: np.ndarray) -> np.ndarray:
-    """The first shingles of a text (h: sorted, distinct) in one order for all texts: by hash, the frequent ones behind by count and hash.
+def prefix(h: np.ndarray, least: float, hot: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, int]:
+    """The first shingles of a text (h: sorted, distinct) in one order for all texts: by hash, the frequent ones behind by count and
+    hash; and how many of them aren't frequent.
 
     Sets of similarity least or more share at least least * n shingles of either, so their prefixes share one.
     """
     need = len(h) - math.ceil(least * len(h) - 1e-9) + 1 if len(h) else 0
     if not len(hot):
-        return h[:need]
+        return h[:need], need
     at = np.minimum(np.searchsorted(hot, h), len(hot) - 1)
     often = hot[at] == h
     rare = h[~often][:need]
     if len(rare) == need:
-        return rare
+        return rare, need
     behind = h[often]
-    return np.append(rare, behind[np.argsort(count[at[often]], kind="stable")][: need - len(rare)])
+    return np.append(rare, behind[np.argsort(count[at[often]], kind="stable")][: need - len(rare)]), len(rare)
+
+
+def parities(h: np.ndarray) -> bytes:
+    """A bitmap of at least two bits a shingle: whether an odd number of the shingles (h: distinct) has a box's low bits.
+
+    Two bitmaps differ in at most as many bits as the sets in shingles.  Of unequal lengths (powers of two) the longer one is folded.
+    """
+    bits = max(BLOCK_BITS, 1 << (2 * len(h) - 1).bit_length()) if len(h) else BLOCK_BITS
+    odd = np.bincount((h & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def folded(bitmaps: np.ndarray, size: int) -> np.ndarray:
+    """Rows of bitmaps (bytes) folded to size bytes each, as 64-bit words."""
+    if bitmaps.shape[1] != size:
+        bitmaps = np.bitwise_xor.reduce(bitmaps.reshape(len(bitmaps), -1, size), axis=1)
+    return np.ascontiguousarray(bitmaps).view(np.uint64)
 
 
 def _signatures(rows: DataFrame, size: int, least: float) -> DataFrame:
-    """(id, text_a, text_b: the word sequence's hashes, n: shingles, hist: their number by first byte of the hash, at most 255, firsts: their prefix)."""
+    """(id, text_a, text_b: the word sequence's hashes, n: shingles, bits: their parities, firsts: their prefix, rare: how many of it aren't frequent)."""
     shared = rows.sparkSession.sparkContext.broadcast(_frequent(rows, size))
 
     def run(batches):
-        for batch in batches:
-            columns = [[] for _ in range(5)]
+        for batch in (p for b in batches for p in portions(b, "text")):
+            columns = [[] for _ in range(6)]
             for text in batch.column("text").cast(pa.binary()).to_pylist():
                 joined = b" ".join((text or b"").lower().split())
                 h = np.unique(shingle_hashes(text or b"", size))
-                hist = np.minimum(np.bincount((h >> np.uint64(56)).astype(np.int64), minlength=256), 255).astype(np.uint8)
-                firsts = prefix(h, least, *shared.value).view(np.int64)
-                for c, v in zip(columns, (xxhash.xxh64_intdigest(joined, 1) - (1 << 63), xxhash.xxh64_intdigest(joined, 2) - (1 << 63), len(h), hist.tobytes(), firsts), strict=True):
+                firsts, rare = prefix(h, least, *shared.value)
+                for c, v in zip(columns, (xxhash.xxh64_intdigest(joined, 1) - (1 << 63), xxhash.xxh64_intdigest(joined, 2) - (1 << 63), len(h), parities(h), firsts.view(np.int64), rare), strict=True):
                     c.append(v)
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()))
-            yield arrays_batch({"id": batch.column("id")} | {k: pa.array(v, t) for k, v, t in zip(("text_a", "text_b", "n", "hist", "firsts"), columns, kinds, strict=True)})
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.int32())
+            yield arrays_batch({"id": batch.column("id")} | {k: pa.array(v, t) for k, v, t in zip(("text_a", "text_b", "n", "bits", "firsts", "rare"), columns, kinds, strict=True)})
 
-    return rows.mapInArrow(run, "id bigint, text_a bigint, text_b bigint, n bigint, hist binary, firsts array<bigint>")
+    return rows.mapInArrow(run, "id bigint, text_a bigint, text_b bigint, n bigint, bits binary, firsts array<bigint>, rare int")
 
 
-def _possible(pairs: DataFrame, hists: DataFrame, least: float) -> DataFrame:
-    """(a, b) of the pairs whose histograms allow the similarity: their difference is at most that of the sets."""
+def _most_apart(na, nb, least: float):
+    """How many shingles sets of na and nb shingles can differ in at a similarity of least."""
+    return (na + nb) * ((1 - least) / (1 + least)) + 1e-6
 
-    def run(batches):
-        for batch in batches:
-            if batch.num_rows:
-                x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(-1, 256).astype(np.int64) for k in ("ha", "hb"))
-                most = (batch.column("na").to_numpy() + batch.column("nb").to_numpy()) * ((1 - least) / (1 + least))
-                yield batch.select(["a", "b"]).filter(pa.array(np.abs(x - y).sum(1) <= most + 1e-6))
 
-    full = pairs.distinct().join(hists.toDF("a", "na", "ha"), "a").join(hists.toDF("b", "nb", "hb"), "b")
-    return full.select("a", "b", "na", "nb", "ha", "hb").mapInArrow(run, "a bigint, b bigint")
+def _possible(pairs: DataFrame, prints: DataFrame, least: float) -> DataFrame:
+    """(a, b) of the pairs whose parities allow the similarity."""
+
+    def run(batches):
+        for batch in (p for b in batches for p in portions(b, "bits_a", "bits_b")):
+            raw = [batch.column(k).to_pylist() for k in ("bits_a", "bits_b")]
+            sizes = np.array([[len(v) for v in side] for side in raw], np.int64).reshape(2, -1)
+            most = _most_apart(batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy(), least)
+            good = np.zeros(batch.num_rows, bool)
+            for la, lb in np.unique(sizes, axis=1).T.tolist():
+                at = np.flatnonzero((sizes[0] == la) & (sizes[1] == lb))
+                for lo in range(0, len(at), max(1, (1 << 22) // max(la, lb))):
+                    some = at[lo : lo + max(1, (1 << 22) // max(la, lb))]
+                    x, y = (folded(np.frombuffer(b"".join([side[i] for i in some.tolist()]), np.uint8).reshape(len(some), -1), min(la, lb)) for side in raw)
+                    good[some] = np.bitwise_count(x ^ y).sum(1) <= most[some]
+            yield batch.select(["a", "b"]).filter(pa.array(good))
+
+    full = pairs.join(prints.toDF("a", "n_a", "bits_a"), "a").join(prints.toDF("b", "n_b", "bits_b"), "b")
+    return full.select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(run, "a bigint, b bigint").distinct()
 
 
 def _similar(pairs: DataFrame, size: int, least: float) -> DataFrame:
     """(a, b) of the rows (a, b, text_of_a, text_of_b) whose shingle sets are similar enough."""
 
     def run(batches):
-        for batch in batches:
+        for batch in (p for b in batches for p in portions(b, "text_of_a", "text_of_b")):
             keep = []
             for x, y in zip(*(batch.column(k).cast(pa.binary()).to_pylist() for k in ("text_of_a", "text_of_b")), strict=True):
-                left, right = set(shingle_hashes(x or b"", size).tolist()), set(shingle_hashes(y or b"", size).tolist())
-                both = len(left & right)
+                left, right = (np.unique(shingle_hashes(t or b"", size)) for t in (x, y))
+                both = len(np.intersect1d(left, right, assume_unique=True))
                 keep.append(both >= least * (len(left) + len(right) - both) - 1e-9)
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return pairs.select("a", "b", "text_of_a", "text_of_b").mapInArrow(run, "a bigint, b bigint")
 
 
-def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 5, least: float = 0.8, crowd: int = CROWD) -> DataFrame:
+class _Members:
+    """Some members of one key as arrays."""
+
+    NAMES = ("node", "part", "n", "at", "bits")
+
+    def __init__(self, *columns: np.ndarray) -> None:
+        self.node, self.part, self.n, self.at, self.bits = columns
+
+    def rows(self, which) -> _Members:
+        return _Members(*[getattr(self, c)[which] for c in self.NAMES])
+
+    def plus(self, other: _Members) -> _Members:
+        return _Members(*[np.concatenate([getattr(self, c), getattr(other, c)]) for c in self.NAMES])
+
+    def pairs(self, other: _Members, least: float, *, itself: bool = False) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Node pairs with other (itself: each once) of different parts that places, numbers and parities of shingles allow."""
+        out, step = [], max(1, (1 << 18) // max(1, len(other.node)))
+        for lo in range(0, len(self.node), step):
+            own = self.rows(slice(lo, lo + step))
+            most = np.minimum((own.n - own.at)[:, None], (other.n - other.at)[None])
+            fits = (own.part[:, None] != other.part[None]) & (most >= (own.n[:, None] + other.n[None]) * (least / (1 + least)) - 1e-6)
+            if itself:
+                fits &= np.arange(lo, lo + len(own.node))[:, None] < np.arange(len(other.node))[None]
+            i, j = np.nonzero(fits)
+            for k in range(0, len(i), 1 << 15):
+                x, y = i[k : k + (1 << 15)], j[k : k + (1 << 15)]
+                good = np.bitwise_count(own.bits[x] ^ other.bits[y]).sum(1) <= _most_apart(own.n[x], other.n[y], least)
+                out.append((own.node[x[good]], other.node[y[good]]))
+        return out
+
+
+def _across(members: DataFrame, least: float) -> DataFrame:
+    """(a, b): pairs of members (w, slice, slices, node, part, n, at, bits) of one key and different parts that may be similar.
+
+    The key's members are dealt to slices; each slice stands in one task's memory, and the members of later slices pass it by.
+    """
+
+    def run(batches):
+        key, held = None, None
+        for batch in batches:
+            w, block, own = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("w", "block", "own"))
+            if not len(w):
+                continue
+            bits = np.concatenate([folded(np.frombuffer(v, np.uint8)[None], BLOCK_BITS // 8) for v in batch.column("bits").to_pylist()])
+            every = _Members(*[batch.column(c).to_numpy() for c in _Members.NAMES[:-1]], bits)
+            edges = np.flatnonzero((np.diff(w) != 0) | (np.diff(block) != 0) | (np.diff(own.astype(np.int8)) != 0)) + 1
+            found = []
+            for lo, hi in itertools.pairwise([0, *edges.tolist(), len(w)]):
+                some = every.rows(slice(lo, hi))
+                if (w[lo], block[lo]) != key:
+                    key, held = (w[lo], block[lo]), None
+                if held is not None:
+                    found += held.pairs(some, least)
+                if own[lo]:
+                    found += some.pairs(some, least, itself=True)
+                    held = some if held is None else held.plus(some)
+            a, b = (np.concatenate([np.zeros(0, np.int64), *[f[k] for f in found]]) for k in (0, 1))
+            yield arrays_batch({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+    dealt = members.withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), "slice"))).withColumn("own", F.col("block") == F.col("slice"))
+    dealt = dealt.repartition("w", "block").sortWithinPartitions("w", "block", F.desc("own"))
+    return dealt.select("w", "block", "own", *_Members.NAMES).mapInArrow(run, "a bigint, b bigint").distinct()
+
+
+def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 5, least: float = 0.8, slice_rows: int = SLICE) -> DataFrame:
     """(id, component_id) for each row of df with an id: the smallest id of its group of equal and near-duplicate texts.
 
-    Texts are equal if their words are, with A-Z lower-cased.  Null and empty texts are equal.  A row whose id stands in
-    df before with another text is a document of its own here.
+    Texts are equal if their words are, with A-Z lower-cased.  Null and empty texts are equal.  Rows of one id are one
+    document: their texts belong to one group.
     """
+    spark = df.sparkSession
     rows = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).filter("id is not null")
-    signed = cut(_signatures(rows, size, least))
+    place = shared_folder(spark, "signatures")
+    _signatures(rows, size, least).write.parquet(place)
+    signed = spark.read.parquet(place)
     same = ["text_a", "text_b"]
-    kinds = cut(signed.groupBy(*same).agg(F.min("id").alias("node"), *[F.first(c).alias(c) for c in ("n", "hist", "firsts")]))
-    hists = kinds.select("node", "n", "hist")
-    entries = kinds.select("node", "n", F.posexplode("firsts").alias("at", "w"))
-    keyed = cut(entries.withColumn("many", F.count("*").over(Window.partitionBy("w"))).filter("many > 1"))
-
-    def sides(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-        return tuple(rows.select(*[c for c in rows.columns if c not in ("node", "n", "at", "part")], *[F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "at", "part") if c in rows.columns]) for x in "ab")
-
-    def allowed(pairs: DataFrame) -> DataFrame:
-        """A link's first shared shingle is a key of both, and all others stand behind it in both; under some key it passes this."""
-        most = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))
-        return pairs.filter(most >= (F.col("n_a") + F.col("n_b")) * (least / (1 + least)) - 1e-6).select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        pairs = cut(_possible(pairs, hists, least))
-        wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-        place = shared_folder(df.sparkSession, "candidate-texts")
-        rows.join(wanted, rows["id"] == wanted["node"]).groupBy("node").agg(F.min("text").alias("text")).write.parquet(place)
-        texts = df.sparkSession.read.parquet(place)
-        return cut(_similar(pairs.join(texts.toDF("a", "text_of_a"), "a").join(texts.toDF("b", "text_of_b"), "b"), size, least))
-
-    left, right = sides(keyed.filter(F.col("many") <= crowd).drop("many"))
-    crowded = keyed.filter(F.col("many") > crowd)
-    heads = crowded.groupBy("w").agg(F.min("node").alias("a"))
-    stars = crowded.join(heads, "w").filter("node > a").select("a", F.col("node").alias("b"))
-    near = verified(allowed(left.join(right, "w").filter("node_a < node_b")).unionByName(stars))
-    found = cut(components(near))
-    # what the stars of crowded keys have not connected is paired in full
-    parted = crowded.join(found, "node", "left").withColumn("part", F.coalesce("component", "node")).drop("component")
-    open_keys = parted.groupBy("w").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).filter("lo < hi").select("w")
-    parted = cut(parted.join(open_keys, "w").withColumn("slices", F.ceil(F.col("many") / SLICE)).drop("many"))
-    left, right = sides(parted)
-    left = left.withColumn("slice", F.pmod(F.xxhash64("node_a"), "slices")).drop("slices")
-    right = right.withColumn("slice", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("slices") - 1))).drop("slices")
-    cross = cut(allowed(left.join(right, ["w", "slice"]).filter("part_a < part_b")).distinct())
+    node = F.min("id").alias("node")
+    entries = signed.groupBy(*same).agg(node, *[F.first(c).alias(c) for c in ("firsts", "rare")]).select("node", "rare", F.posexplode("firsts").alias("at", "w"))
+    # rare shingles have small groups, a window's task holds many; frequent ones are combined before the shuffle and joined
+    every = Window.partitionBy("w")
+    seldom = entries.filter("at < rare").withColumns({"many": F.count("*").over(every), "head": F.min("node").over(every)}).filter("many > 1")
+    often = entries.filter("at >= rare")
+    heads = often.groupBy("w").agg(F.count("*").alias("many"), F.min("node").alias("head")).filter("many > 1")
+    names = ["w", "node", "at", "many", "head"]
+    keyed = cut(seldom.select(*names).unionByName(often.join(heads, "w").select(*names)))
+    place = shared_folder(spark, "parities")
+    asked = few(cut(keyed.select("node").distinct()))
+    signed.join(asked, signed["id"] == asked["node"]).groupBy("node", *same).agg(F.first("n").alias("n"), F.first("bits").alias("bits")).select("node", "n", "bits").write.parquet(place)
+    prints = spark.read.schema("node bigint, n bigint, bits binary").parquet(place)
+
+    def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+        """The links among pairs (written already).  The texts of b travel to those of a."""
+        later = texts.toDF("b", "text_of_b").join(few(pairs), "b")
+        heads = texts.toDF("a", "text_of_a").join(few(cut(pairs.select("a").distinct())), "a")
+        return cut(_similar(later.join(heads, "a"), size, least).distinct())
+
+    def linked(pairs: DataFrame, known: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+        """All links among pairs that connect anything, with the known ones, and the components: each node's pair with the
+        smallest other first, then those whose ends are still apart."""
+        pairs = cut(_possible(pairs, prints, least))
+        wanted = few(cut(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()))
+        place = shared_folder(spark, "candidate-texts")
+        own = rows.join(wanted, rows["id"] == wanted["node"]).groupBy("node", F.xxhash64("text").alias("h")).agg(F.min("text").alias("text"))
+        own.select("node", "text").write.parquet(place)
+        texts = spark.read.schema("node bigint, text string").parquet(place)
+        first = cut(pairs.groupBy("b").agg(F.min("a").alias("a")))
+        near = verified(first, texts)
+        near = near if known is None else near.unionByName(known)
+        found = cut(components(near))
+        part = lambda x: found.toDF(x, f"part_{x}")
+        rest = pairs.join(first.toDF("b", "tried"), "b").filter("a != tried").join(part("a"), "a", "left").join(part("b"), "b", "left")
+        rest = cut(rest.filter("coalesce(part_a, a) != coalesce(part_b, b)").select("a", "b"))
+        if not rest.isEmpty():
+            near = near.unionByName(verified(rest, texts))
+            found = cut(components(near))
+        remove(spark, place)
+        return near, found
+
+    near, found = linked(keyed.filter("node > head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct(), None)
+    # a key whose members beside the head are all connected by now holds no further link
+    others = keyed.filter("node > head").join(found, "node", "left").withColumn("part", F.coalesce("component", "node"))
+    apart = others.groupBy("w").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).filter("lo < hi").select("w")
+    others = others.join(apart, "w").join(prints, "node")
+    others = others.withColumn("slice", F.pmod(F.xxhash64("node", "w"), F.ceil(F.col("many") / slice_rows)))
+    cross = cut(_across(others.select("w", "slice", *_Members.NAMES), least))
     if not cross.isEmpty():
-        found = components(near.unionByName(verified(cross)))
-    named = kinds.join(found, "node", "left").select(*same, F.coalesce("component", "node").alias("component_id"))
+        found = linked(cross, near)[1]
+    named = signed.groupBy(*same).agg(node).join(found, "node", "left").select(*same, F.coalesce("component", "node").alias("component_id"))
     return signed.select("id", *same).join(named, same).select("id", "component_id")
 
 
