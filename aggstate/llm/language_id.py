@@ -8,6 +8,10 @@ product: the rows of the matrix at a batch's buckets, summed by document.
 Null text, empty text and text without a letter: ``und`` with score 0.  Ties go to the language first in order.  Repeated
 rows are scored each.  Null ids stay null.  An empty training table gives a model without languages, which answers ``und``.
 Only the named columns are read, so extra columns of any name don't matter.
+
+A posterior compares the learned languages with each other alone, so it says nothing about a text in none of them.  The
+stage therefore asks for the log-likelihood of an n-gram too: a text of ``FLOOR_GRAMS`` n-grams or more goes if its mean
+lies ``FLOOR_MARGIN`` below the lowest one among the training texts of its language.
 """
 
 from __future__ import annotations
@@ -20,13 +24,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrays_batch, table
+from .common import arrays_batch, masked, portions, table
 
 BUCKETS = 1 << 16
 ORDERS = (1, 2, 3)
 MAX_LANGUAGES = 512
 #: The classifier is fitted on about this many labelled documents of each language, chosen by a hash of their ids.
 TRAIN_DOCS = 3000
+FLOOR_GRAMS, FLOOR_MARGIN = 30, 1.5
 _MULTIPLIERS = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)
 
 
@@ -60,7 +65,7 @@ def grams(texts: list[str], buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndar
     return np.concatenate(out or [empty]), np.concatenate(owners or [empty]), n_letters
 
 
-def _portions(texts: list, limit: int = 400_000) -> Iterator[tuple[int, int]]:
+def _portions(texts: list, limit: int = 200_000) -> Iterator[tuple[int, int]]:
     lo, size = 0, 0
     for i, t in enumerate(texts):
         size += len(t or "")
@@ -74,7 +79,7 @@ def _portions(texts: list, limit: int = 400_000) -> Iterator[tuple[int, int]]:
 def _counting(buckets: int):
     def count(batches):
         totals: dict[str, np.ndarray] = {}
-        for batch in batches:
+        for batch in (p for b in batches for p in portions(b, "text")):
             langs, texts = batch.column("lang").to_pylist(), batch.column("text").to_pylist()
             for lo, hi in _portions(texts):
                 found, owner, _ = grams(texts[lo:hi], buckets)
@@ -89,36 +94,68 @@ def _counting(buckets: int):
     return count
 
 
+def _sample(df: DataFrame, id_col: str, text_col: str, lang_col: str, per_language: int) -> tuple[DataFrame, dict[str, int]]:
+    """(lang, text) of about per_language rows of each language, and how many rows each has."""
+    rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).filter("text is not null and lang is not null")
+    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()}
+    if len(sizes) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    if not sizes:
+        return rows.select("lang", "text"), sizes
+    rates = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, per_language / n))])
+    draw = F.pmod(F.xxhash64(F.lit(11), F.col("id"), F.col("lang")), F.lit(1 << 30)) / float(1 << 30)
+    return rows.filter(draw < rates[F.col("lang")]).select("lang", "text"), sizes
+
+
 def train(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", buckets: int = BUCKETS, per_language: int = TRAIN_DOCS, alpha: float = 0.5) -> dict:
     """The model: languages in order, log-probabilities (buckets x languages) and log priors.
 
     Rows with a null text or language teach nothing.  Of each language about per_language rows are used, chosen by a
     hash of the id at a rate from the language's row count, whatever the input's size.
     """
-    rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).filter("text is not null and lang is not null")
-    sizes = rows.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()
-    if len(sizes) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    sample, sizes = _sample(df, id_col, text_col, lang_col, per_language)
     if not sizes:
         return {"languages": [], "logp": np.zeros((buckets, 0), np.float32), "prior": np.zeros(0)}
-    rates = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], min(1.0, per_language / r["count"]))])
-    draw = F.pmod(F.xxhash64(F.lit(11), F.col("id"), F.col("lang")), F.lit(1 << 30)) / float(1 << 30)
-    sample = rows.filter(draw < rates[F.col("lang")]).select("lang", "text")
     counts = sample.mapInArrow(_counting(buckets), "lang string, bucket int, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
-    languages = sorted(r["lang"] for r in sizes)
+    languages = sorted(sizes)
     place = {x: i for i, x in enumerate(languages)}
     matrix = np.full((buckets, len(languages)), alpha)
     np.add.at(matrix, (counts["bucket"].to_numpy(), counts["lang"].map(place).to_numpy(dtype=np.int64)), counts["n"].to_numpy())
-    prior = np.array([next(r["count"] for r in sizes if r["lang"] == x) for x in languages], float)
+    prior = np.array([sizes[x] for x in languages], float)
     return {"languages": languages, "logp": np.log(matrix / matrix.sum(0)).astype(np.float32), "prior": np.log(prior / prior.sum())}
 
 
-def score_texts(model: dict, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
-    """Language and posterior probability of each text."""
+def floors(df: DataFrame, model: dict, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = TRAIN_DOCS) -> np.ndarray:
+    """For each language of the model the mean log-likelihood of an n-gram below which a text is in none of them.
+
+    Asked of the training texts that the model gives their own language; -inf for a language without such a text.
+    """
+    sample, sizes = _sample(df, id_col, text_col, lang_col, per_language)
+    out = np.full(len(model["languages"]), -np.inf)
+    if not sizes:
+        return out
+    shared = df.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        low: dict[str, float] = {}
+        for batch in (p for b in batches for p in portions(b, "text")):
+            names, _, mean, n = scored(shared.value, batch.column("text").to_pylist())
+            for lang, own, m, k in zip(batch.column("lang").to_pylist(), names, mean.tolist(), n.tolist(), strict=True):
+                if lang == own and k >= FLOOR_GRAMS:
+                    low[lang] = min(low.get(lang, 0.0), m)
+        yield arrays_batch({"lang": pa.array(list(low), pa.string()), "mean": pa.array(list(low.values()), pa.float64())})
+
+    for r in sample.mapInArrow(run, "lang string, mean double").groupBy("lang").agg(F.min("mean").alias("mean")).collect():
+        out[model["languages"].index(r["lang"])] = r["mean"] - FLOOR_MARGIN
+    return out
+
+
+def scored(model: dict, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """Language and posterior probability of each text, the mean log-likelihood of its n-grams in that language, and their number."""
     names, logp = model["languages"], model["logp"]
-    out, score = ["und"] * len(texts), np.zeros(len(texts))
+    out, score, mean, size = ["und"] * len(texts), np.zeros(len(texts)), np.zeros(len(texts)), np.zeros(len(texts), np.int64)
     if not names:
-        return out, score
+        return out, score, mean, size
     for lo, hi in _portions(texts):
         found, owner, letters = grams([t or "" for t in texts[lo:hi]], logp.shape[0])
         total = np.tile(model["prior"], (hi - lo, 1))
@@ -126,10 +163,17 @@ def score_texts(model: dict, texts: list[str | None]) -> tuple[list[str], np.nda
             total[:, k] += np.bincount(owner, weights=logp[:, k][found], minlength=hi - lo)
         best = total.argmax(1)
         posterior = 1 / np.exp(total - total.max(1, keepdims=True)).sum(1)
+        size[lo:hi] = np.bincount(owner, minlength=hi - lo)
+        mean[lo:hi] = (total.max(1) - model["prior"][best]) / np.maximum(size[lo:hi], 1)
         for i in np.flatnonzero(letters).tolist():
             out[lo + i] = names[best[i]]
             score[lo + i] = posterior[i]
-    return out, score
+    return out, score, mean, size
+
+
+def score_texts(model: dict, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
+    """Language and posterior probability of each text."""
+    return scored(model, texts)[:2]
 
 
 def identify(df: DataFrame, model: dict, *, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -140,7 +184,7 @@ def identify(df: DataFrame, model: dict, *, id_col: str = "doc_id", text_col: st
     rest = [id_col, *keep]
 
     def run(batches):
-        for batch in batches:
+        for batch in (p for b in batches for p in portions(b, text_col)):
             lang, score = score_texts(shared.value, batch.column(text_col).to_pylist())
             yield arrays_batch({c: batch.column(c) for c in rest} | {"lang_pred": pa.array(lang, pa.string()), "score": pa.array(score)})
 
@@ -160,11 +204,23 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str, *, min_score: float = 0.5) -> DataFrame:
-    """Keeps the documents whose language is recognised: those with a letter and a best language of probability min_score."""
-    shared = train(docs)
-    names = docs.columns
-    ranked = identify(docs, shared, keep=tuple(c for c in names if c != "doc_id"))
-    return ranked.filter((F.col("lang_pred") != "und") & (F.col("score") >= min_score)).select(*names)
+    """Keeps the documents whose language is recognised: those with a letter, a best language of probability min_score, and
+    n-grams no rarer in it than its floor allows.  Null and empty texts go, repeated rows share one fate."""
+    model = train(docs)
+    low = floors(docs, model)
+    named, c = masked(docs)
+    shared = spark.sparkContext.broadcast((model, low))
+
+    def run(batches):
+        for batch in (p for b in batches for p in portions(b, c["text"])):
+            model, low = shared.value
+            place = {x: i for i, x in enumerate(model["languages"])}
+            names, score, mean, n = scored(model, batch.column(c["text"]).to_pylist())
+            floor = np.array([low[place[x]] if x in place else 0.0 for x in names])
+            known = np.array([x in place for x in names], bool)
+            yield batch.filter(pa.array(known & (score >= min_score) & ((n < FLOOR_GRAMS) | (mean >= floor))))
+
+    return named.mapInArrow(run, named.schema).toDF(*docs.columns)
 
 
 QUERIES = {"op1_language_id": op1_language_id}
