@@ -12,8 +12,13 @@ tell the slice that holds the cut, and only that slice's rows (about ``SLICE_ROW
 a third of all rows.  The row at the cut counts with the tokens still missing (n_take < n_tokens).
 
 Null domain, language and source are names of their own (empty string).  Null and empty texts have no tokens; they come
-along in whole epochs and where their hash stands before the cut.  Rows that agree in id and text share one fate, so a
-cut among them can exceed the share.  An empty table gives an empty result.
+along in whole epochs and where their hash stands before the cut.  Rows that agree in id and text have one place in an
+epoch; if the cut falls among them they are counted one by one, and those beyond it stay out.  An empty table gives an
+empty result.  Columns of docs may have any names.
+
+Nothing is dealt by leaf alone: the few numbers of each leaf are broadcast to the rows if there are at most
+``BROADCAST_LEAVES`` leaves (counted first); beyond that the rows are joined with them by leaf, which adaptive execution
+splits where a leaf is large, and the last slices by (leaf, slice).
 """
 
 from __future__ import annotations
@@ -23,9 +28,11 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, table
+from .common import cut, masked, table
 
 SLICE_ROWS = 4096
+#: Leaves whose shares are broadcast: 100 bytes each, some megabytes.
+BROADCAST_LEAVES = 50_000
 HASH_BITS = 60
 KEYS = ("__domain", "__lang", "__source")
 
@@ -90,31 +97,43 @@ def keyed(df: DataFrame, *, id_col: str, text_col: str, domain: Column, lang_col
 
 
 def plan(rows: DataFrame, *, weights: tuple[Mapping[str, int], ...], max_epochs: int, budget: int | None, part: tuple[int, int], seed: int) -> DataFrame:
-    """For each leaf: whole epochs, tokens of the last one (rest), the hash at its cut and the tokens before that."""
+    """For each leaf: whole epochs, tokens of the last one (__rest), the hash at its cut, the tokens before that, and how many rows stand at it."""
     leaves = cut(rows.groupBy(*KEYS).agg(F.count("*").alias("rows"), F.sum("__n").alias("tokens")))
     shares = leaf_shares(leaves, weights=weights, max_epochs=max_epochs, budget=budget, part=part)
-    shares = cut(shares.filter("share > 0").selectExpr(*KEYS, "share div tokens AS epochs", "share % tokens AS rest", f"greatest(0, cast(ceil(log2(rows / {SLICE_ROWS})) AS int)) AS bits"))
-    cutting = shares.filter("rest > 0")
-    placed = rows.select(*KEYS, "__n", "__id", "__text_hash").join(cutting, list(KEYS))
-    placed = placed.withColumn("h", _order(seed, F.col("epochs"))).withColumn("slice", F.expr(f"shiftright(h, {HASH_BITS} - bits)"))
+    shares = cut(shares.filter("share > 0").selectExpr(*KEYS, "share div tokens AS __epochs", "share % tokens AS __rest", f"greatest(0, cast(ceil(log2(rows / {SLICE_ROWS})) AS int)) AS __bits"))
+    cutting = shares.filter("__rest > 0")
+    placed = rows.select(*KEYS, "__n", "__id", "__text_hash").join(small(cutting), list(KEYS))
+    placed = placed.withColumn("__h", _order(seed, F.col("__epochs"))).withColumn("__slice", F.expr(f"shiftright(__h, {HASH_BITS} - __bits)"))
     leaf = Window.partitionBy(*KEYS)
-    sums = placed.groupBy(*KEYS, "slice", "rest").agg(F.sum("__n").alias("own"))
-    sums = sums.withColumn("until", F.sum("own").over(leaf.orderBy("slice").rowsBetween(Window.unboundedPreceding, 0)))
-    edge = sums.filter("until >= rest and until - own < rest").selectExpr(*KEYS, "slice", "until - own AS before")
-    inside = placed.join(edge, [*KEYS, "slice"]).groupBy(*KEYS, "h", "rest", "before").agg(F.sum("__n").alias("own"))
-    inside = inside.withColumn("until", F.col("before") + F.sum("own").over(leaf.orderBy("h").rowsBetween(Window.unboundedPreceding, 0)))
-    cuts = inside.filter("until >= rest and until - own < rest").selectExpr(*KEYS, "h AS cut_h", "until - own AS cut_before")
-    return cut(shares.join(cuts, list(KEYS), "left").drop("bits"))
+    sums = placed.groupBy(*KEYS, "__slice", "__rest").agg(F.sum("__n").alias("own"))
+    sums = sums.withColumn("until", F.sum("own").over(leaf.orderBy("__slice").rowsBetween(Window.unboundedPreceding, 0)))
+    edge = cut(sums.filter("until >= __rest and until - own < __rest").selectExpr(*KEYS, "__slice", "until - own AS before"))
+    inside = placed.join(small(edge, "__slice"), [*KEYS, "__slice"]).groupBy(*KEYS, "__h", "__rest", "before").agg(F.sum("__n").alias("own"), F.count("*").alias("ties"))
+    inside = inside.withColumn("until", F.col("before") + F.sum("own").over(leaf.orderBy("__h").rowsBetween(Window.unboundedPreceding, 0)))
+    cuts = inside.filter("until >= __rest and until - own < __rest").selectExpr(*KEYS, "__h AS __cut", "until - own AS __before", "ties AS __ties")
+    return cut(shares.join(cuts, list(KEYS), "left").drop("__bits"))
+
+
+def small(leaves: DataFrame, *also: str) -> DataFrame:
+    """leaves for a join with rows: broadcast if there are few (they are written already, so counting is cheap), else dealt by leaf and also."""
+    return F.broadcast(leaves) if leaves.count() <= BROADCAST_LEAVES else leaves.repartition(*KEYS, *also)
 
 
 def select(rows: DataFrame, leaves: DataFrame, seed: int) -> DataFrame:
-    """rows, once for each epoch that takes them, with epoch and n_take."""
-    found = rows.join(leaves, list(KEYS)).withColumn("__h", F.when(F.col("rest") > 0, _order(seed, F.col("epochs"))))
-    last = F.when((F.col("rest") > 0) & (F.col("__h") <= F.col("cut_h")), F.array(F.col("epochs"))).otherwise(F.expr("array(CAST(null AS bigint))"))
-    whole = F.when(F.col("epochs") > 0, F.sequence(F.lit(0).cast("bigint"), F.col("epochs") - 1)).otherwise(F.expr("CAST(array() AS array<bigint>)"))
-    found = found.withColumn("epoch", F.explode(F.array_compact(F.concat(whole, last))))
-    at_cut = (F.col("epoch") == F.col("epochs")) & (F.col("__h") == F.col("cut_h"))
-    return found.withColumn("n_take", F.when(at_cut, F.least(F.col("__n"), F.col("rest") - F.col("cut_before"))).otherwise(F.col("__n")))
+    """rows, once for each epoch that takes them, with __epoch and __take (tokens)."""
+    found = rows.join(small(leaves), list(KEYS)).withColumn("__h", F.when(F.col("__rest") > 0, _order(seed, F.col("__epochs"))))
+    last = F.when((F.col("__rest") > 0) & (F.col("__h") <= F.col("__cut")), F.array(F.col("__epochs"))).otherwise(F.expr("array(CAST(null AS bigint))"))
+    whole = F.when(F.col("__epochs") > 0, F.sequence(F.lit(0).cast("bigint"), F.col("__epochs") - 1)).otherwise(F.expr("CAST(array() AS array<bigint>)"))
+    found = found.withColumn("__epoch", F.explode(F.array_compact(F.concat(whole, last))))
+    at_cut = (F.col("__epoch") == F.col("__epochs")) & (F.col("__h") == F.col("__cut"))
+    left = F.col("__rest") - F.col("__before")
+    if leaves.filter("__ties > 1").isEmpty():
+        return found.withColumn("__take", F.when(at_cut, F.least(F.col("__n"), left)).otherwise(F.col("__n")))
+    tied = at_cut & (F.col("__ties") > 1)
+    one = found.filter(~F.coalesce(tied, F.lit(False))).withColumn("__take", F.when(at_cut, F.least(F.col("__n"), left)).otherwise(F.col("__n")))
+    many = found.filter(tied).withColumn("__k", F.row_number().over(Window.partitionBy(*KEYS, "__h").orderBy("__id")) - 1)
+    many = many.withColumn("__take", F.least(F.col("__n"), left - F.col("__k") * F.col("__n"))).filter("__take > 0").drop("__k")
+    return one.unionByName(many)
 
 
 # Production parameters: weights by domain, language and source, half of all tokens, at most two epochs.
@@ -127,15 +146,16 @@ def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = keyed(docs, id_col="doc_id", text_col="text", domain=domain_of(F.col("source")), lang_col="lang", source_col="source")
     rows = cut(rows.select("doc_id", *KEYS, "__n", "__id", "__text_hash"))
     leaves = plan(rows, weights=WEIGHTS, max_epochs=MAX_EPOCHS, budget=None, part=PART, seed=SEED)
-    return select(rows, leaves, SEED).selectExpr("doc_id", "__domain AS domain", "__lang AS lang", "__source AS source", "epoch", "__n AS n_tokens", "n_take")
+    return select(rows, leaves, SEED).selectExpr("doc_id", "__domain AS domain", "__lang AS lang", "__source AS source", "__epoch AS epoch", "__n AS n_tokens", "__take AS n_take")
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str, *, part: tuple[int, int] = (9, 10)) -> DataFrame:
     """The documents of a mixture of part of the tokens that come in; one that two epochs take stands there twice."""
-    rows = keyed(docs, id_col="doc_id", text_col="text", domain=domain_of(F.col("source")), lang_col="lang", source_col="source")
+    named, c = masked(docs)
+    rows = keyed(named, id_col=c["doc_id"], text_col=c["text"], domain=domain_of(F.col(c["source"])), lang_col=c["lang"], source_col=c["source"])
     slim = cut(rows.select(*KEYS, "__n", "__id", "__text_hash"))
     leaves = plan(slim, weights=WEIGHTS, max_epochs=MAX_EPOCHS, budget=None, part=part, seed=SEED)
-    return select(rows, leaves, SEED).select(*docs.columns)
+    return select(rows, leaves, SEED).select(*c.values()).toDF(*docs.columns)
 
 
 QUERIES = {"op2_source_mixing": op2_source_mixing}
@@ -168,10 +188,12 @@ o AS (SELECT r.*, epochs, rest, CAST('0x' || substr(md5('{SEED}|' || epochs || '
       FROM r JOIN p ON r.domain = p.domain AND r.lang = p.lang AND r.source = p.source),
 b AS (SELECT *, coalesce(sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY h RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
              sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY h RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS until FROM o),
-k AS (SELECT *, min(CASE WHEN rest > 0 AND until >= rest AND before < rest THEN h END) OVER (PARTITION BY domain, lang, source) AS cut_h FROM b),
+k AS (SELECT *, min(CASE WHEN rest > 0 AND until >= rest AND before < rest THEN h END) OVER (PARTITION BY domain, lang, source) AS cut_h,
+             row_number() OVER (PARTITION BY domain, lang, source, h ORDER BY doc_id) - 1 AS tie FROM b),
 e AS (SELECT *, unnest(range(CAST(epochs AS BIGINT) + CASE WHEN rest > 0 AND h <= cut_h THEN 1 ELSE 0 END)) AS epoch FROM k)
 SELECT doc_id, domain, lang, source, CAST(epoch AS BIGINT) AS epoch, CAST(n_tokens AS BIGINT) AS n_tokens,
-       CAST(CASE WHEN epoch = epochs AND h = cut_h THEN least(n_tokens, rest - before) ELSE n_tokens END AS BIGINT) AS n_take FROM e
+       CAST(CASE WHEN epoch = epochs AND h = cut_h THEN least(n_tokens, rest - before - tie * n_tokens) ELSE n_tokens END AS BIGINT) AS n_take FROM e
+WHERE NOT (epoch = epochs AND h = cut_h AND rest - before - tie * n_tokens <= 0)
 """
 
 
