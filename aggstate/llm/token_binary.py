@@ -5,7 +5,9 @@ ids; a document never spans shards, however long it is.  Each shard gets its own
 ids are replaced by nonterminals, round after round.  Pairs inside words come first, counted over the shard's distinct
 words with their frequencies, then pairs across words over the whole sequence; the end id is never part of a pair, so
 every document begins at a symbol.  In one round the most frequent pairs are replaced together; where two overlap, the
-more frequent one wins.  Rounds end when one shortens the sequence by less than a twenty-fifth.
+more frequent one wins.  Rounds go on until no pair stands ``LEAST_COUNT`` times any more (a rule takes the room of four
+replacements, so rarer pairs gain little).  After its first round a phase looks only at places of pairs that were frequent
+or that hold a new nonterminal: all other counts can but fall.
 
 A shard is one binary value of a Parquet table (columns part, seq, n_docs, n_tokens, payload), written by Spark in the
 shared folder, so it survives lost executors and can lie in any store.  Layout, little-endian: ``RPG1``, four u32
@@ -42,9 +44,9 @@ from pyspark.sql import functions as F
 from .common import arrays_batch, blocks, shared_folder, string_buffer, table
 
 END = 2
-SHARD_TOKENS = 2_000_000
-CACHE = 1_200_000
-ROUNDS, GAIN, RULES_A_ROUND, LEAST_COUNT = 12, 0.04, 4096, 24
+SHARD_TOKENS = 1_000_000
+CACHE = 400_000
+RULES_A_ROUND, LEAST_COUNT, LEAST_TAKEN = 4096, 8, 4
 NO_ID = -(1 << 63)
 _LETTERS = "a-zß-öø-ÿ"
 _ODD = re.compile("[^\t\n\r -~À-ÖØ-öø-ÿ]")
@@ -176,38 +178,71 @@ def encoder(file: str) -> Encoder:
     return Encoder(file)
 
 
-def _replace(sym: np.ndarray, owner: np.ndarray, weight: np.ndarray | None, base: int, rules: list, least: int) -> tuple[np.ndarray, np.ndarray, bool]:
-    """One round: replaces the most frequent pairs of neighbours of one owner; adds the rules."""
-    joined = np.flatnonzero((owner[:-1] == owner[1:]) & (sym[:-1] != END) & (sym[1:] != END))
-    if not len(joined):
-        return sym, owner, False
-    both = sym[joined] << 32 | sym[joined + 1]
-    worth = None if weight is None else weight[owner[joined]]
-    bucket = ((both.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).view(np.int64)
-    often = np.bincount(bucket, weights=worth, minlength=1 << 20)[bucket] >= least  # no pair of a rarer bucket is frequent enough
-    joined, both, worth = joined[often], both[often], None if worth is None else worth[often]
-    pairs, which = np.unique(both, return_inverse=True)
-    counts = np.bincount(which, weights=worth, minlength=len(pairs))
-    chosen = np.flatnonzero(counts >= least)
-    if not len(chosen):
-        return sym, owner, False
-    chosen = chosen[np.lexsort((pairs[chosen], -counts[chosen]))][:RULES_A_ROUND]
-    rank = np.full(len(pairs), 1 << 40, np.int64)
-    rank[chosen] = np.arange(len(chosen))
-    at = np.full(len(sym) + 1, 1 << 40, np.int64)  # rank of the pair that begins at a place; the last entry guards both ends
-    at[joined] = rank[which]
-    here = at[:-1]
-    take = np.flatnonzero((here < 1 << 40) & (here <= np.roll(at, 1)[:-1]) & (here <= at[1:]))
-    row = np.arange(len(take))  # neighbouring places are repeats of one pair, of which every other one is taken
-    take = take[(row - np.maximum.accumulate(np.where(np.append(True, np.diff(take) > 1), row, 0))) % 2 == 0]
-    used, place = np.unique(here[take], return_inverse=True)
-    first = base + sum(len(r) for r in rules)
-    rules.append(np.stack([pairs[chosen[used]] >> 32, pairs[chosen[used]] & 0xFFFFFFFF], 1))
-    sym = sym.copy()
-    sym[take] = first + place
-    keep = np.ones(len(sym), bool)
-    keep[take + 1] = False
-    return sym[keep], owner[keep], len(take) >= GAIN * len(keep)
+class _Phase:
+    """Replacement rounds over one sequence; pairs lie within one owner, and each owner counts weight times."""
+
+    def __init__(self, sym: np.ndarray, owner: np.ndarray, weight: np.ndarray | None, base: int, rules: list[np.ndarray], least: int) -> None:
+        self.sym, self.owner, self.weight, self.rules, self.least = sym.astype(np.int32), owner.astype(np.int32), weight, rules, least
+        self.next = base + sum(map(len, rules))
+        self.old = self.fresh = None  # by symbol: whether it is in a frequent pair, whether it came in the last round
+
+    def run(self) -> tuple[np.ndarray, np.ndarray]:
+        while self.round():
+            pass
+        return self.sym.astype(np.int64), self.owner.astype(np.int64)
+
+    def places(self) -> np.ndarray:
+        """Where pairs begin that may be frequent."""
+        sym, owner = self.sym, self.owner
+        if self.old is None:
+            return np.flatnonzero((owner[:-1] == owner[1:]) & (sym[:-1] != END) & (sym[1:] != END))
+        old, fresh = self.old[sym], self.fresh[sym]
+        at = np.flatnonzero((old[:-1] & old[1:]) | fresh[:-1] | fresh[1:])
+        return at[(owner[at] == owner[at + 1]) & (sym[at] != END) & (sym[at + 1] != END)]
+
+    def round(self) -> bool:
+        """Replaces the most frequent pairs and adds their rules; whether there were any."""
+        sym, owner, least = self.sym, self.owner, self.least
+        at = self.places()
+        both = sym[at].astype(np.int64) << 32 | sym[at + 1]
+        worth = None if self.weight is None else self.weight[owner[at]]
+        bucket = ((both.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).view(np.int64)
+        often = np.bincount(bucket, weights=worth, minlength=1 << 20)[bucket] >= least  # no pair of a rarer bucket is frequent enough
+        at, both, worth = at[often], both[often], None if worth is None else worth[often]
+        pairs, which = np.unique(both, return_inverse=True)
+        counts = np.bincount(which, weights=worth, minlength=len(pairs))
+        frequent = np.flatnonzero(counts >= least)
+        if not len(frequent):
+            return False
+        chosen = frequent[np.lexsort((pairs[frequent], -counts[frequent]))][:RULES_A_ROUND]
+        rank = np.full(len(pairs), len(chosen), np.int64)
+        rank[chosen] = np.arange(len(chosen))
+        own = rank[which]
+        at, own = at[own < len(chosen)], own[own < len(chosen)]
+        beside = np.diff(at) == 1
+        before, behind = np.full(len(at), len(chosen)), np.full(len(at), len(chosen))
+        before[1:][beside], behind[:-1][beside] = own[:-1][beside], own[1:][beside]
+        won = (own <= before) & (own <= behind)
+        take, own = at[won], own[won]
+        row = np.arange(len(take))  # neighbouring places are repeats of one pair, of which every other one is taken
+        some = (row - np.maximum.accumulate(np.where(np.append(True, np.diff(take) > 1), row, 0))) % 2 == 0
+        take, own = take[some], own[some]
+        taken = np.bincount(own, weights=None if self.weight is None else self.weight[owner[take]], minlength=len(chosen))
+        good = taken >= LEAST_TAKEN  # others lose most of their places to more frequent ones
+        good[0] = True
+        some = good[own]
+        take, own = take[some], own[some]
+        used = np.flatnonzero(good)
+        self.rules.append(np.stack([pairs[chosen[used]] >> 32, pairs[chosen[used]] & 0xFFFFFFFF], 1))
+        after = self.next + len(used)
+        self.old, self.fresh = np.zeros(after, bool), np.zeros(after, bool)
+        self.old[pairs[frequent] >> 32] = self.old[pairs[frequent] & 0xFFFFFFFF] = True
+        self.fresh[self.next :] = True
+        sym[take] = (self.next + np.cumsum(good) - 1)[own]
+        keep = np.ones(len(sym), bool)
+        keep[take + 1] = False
+        self.sym, self.owner, self.next = sym[keep], owner[keep], after
+        return True
 
 
 def repair(pieces: Sequences, texts: list[np.ndarray], base: int, *, least: int = LEAST_COUNT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -219,12 +254,8 @@ def repair(pieces: Sequences, texts: list[np.ndarray], base: int, *, least: int
     number[present] = np.arange(len(present))
     flow, counts = number[flow], counts[present]
     sym, size = pieces.of(present)
-    sym, owner = sym.astype(np.int64), np.repeat(np.arange(len(present)), size)
     rules: list[np.ndarray] = []
-    for _ in range(ROUNDS):
-        sym, owner, more = _replace(sym, owner, counts, base, rules, least)
-        if not more:
-            break
+    sym, owner = _Phase(sym, np.repeat(np.arange(len(present)), size), counts, base, rules, least).run()
     size = np.bincount(owner, minlength=len(present))
     start = np.cumsum(size) - size
     spans = size[flow]
@@ -232,10 +263,7 @@ def repair(pieces: Sequences, texts: list[np.ndarray], base: int, *, least: int
     total = int(ends[-1]) if len(ends) else 0
     sym = sym[np.arange(total) - np.repeat(ends - spans - start[flow], spans)]
     text_of = np.repeat(np.repeat(np.arange(len(texts)), [len(t) for t in texts]), spans)
-    for _ in range(ROUNDS):
-        sym, text_of, more = _replace(sym, text_of, None, base, rules, least)
-        if not more:
-            break
+    sym, text_of = _Phase(sym, text_of, None, base, rules, least).run()
     grammar = np.concatenate(rules) if rules else np.zeros((0, 2), np.int64)
     return grammar, sym, np.searchsorted(text_of, np.arange(len(texts) + 1))
 
@@ -329,7 +357,6 @@ def write(df: DataFrame, folder: str, *, tokenizer: str, id_col: str = "doc_id",
     rows = rows.repartitionByRange("id", "tie").sortWithinPartitions("id", "tie").select("id", "text")
 
     def run(batches):
-        gc.disable()  # millions of small lists, and no cycles among them
         coder, part, seq = encoder(tokenizer), TaskContext.get().partitionId(), 0
         ids: list = []
         texts: list[np.ndarray] = []
@@ -344,17 +371,22 @@ def write(df: DataFrame, folder: str, *, tokenizer: str, id_col: str = "doc_id",
                 coder.fresh()
             return row
 
-        for batch in batches:
-            names, column = batch.column("id").to_pylist(), batch.column("text")
-            for lo, hi in blocks(string_buffer(column)[1], 3 * shard_tokens):  # an id is about three bytes of text
-                own = coder.encode(column.slice(lo, hi - lo).to_pylist())
-                ids += names[lo:hi]
-                texts += own
-                held += int(coder.ids.sizes(np.concatenate(own)).sum())
-                if held >= 0.75 * shard_tokens:
-                    yield shard()
-        if ids:
-            yield shard()
+        gc.disable()  # millions of small lists, and no cycles among them
+        try:
+            for batch in batches:
+                names, column = batch.column("id").to_pylist(), batch.column("text")
+                for lo, hi in blocks(string_buffer(column)[1], 3 * shard_tokens):  # an id is about three bytes of text
+                    own = coder.encode(column.slice(lo, hi - lo).to_pylist())
+                    ids += names[lo:hi]
+                    texts += own
+                    held += int(coder.ids.sizes(np.concatenate(own)).sum())
+                    if held >= 0.75 * shard_tokens:
+                        yield shard()
+            if ids:
+                yield shard()
+        finally:
+            gc.enable()
+            pa.default_memory_pool().release_unused()
 
     rows.mapInArrow(run, "part int, seq int, n_docs bigint, n_tokens bigint, payload binary").write.option("compression", "zstd").parquet(folder)
 

@@ -99,6 +99,8 @@ def test_grammar_random_access():
     for lo, hi in ((0, 1), (5, 300), (total - 3, total)):
         assert (shard.decode_range(lo, hi) == flat[lo:hi]).all()
     assert shard.document(1).tolist() == [2]
+    left = collections.Counter(p for a, b in itertools.pairwise(shard.first.tolist()) for p in itertools.pairwise(shard.symbols[a:b].tolist()) if 2 not in p)
+    assert max(left.values()) < token_binary.LEAST_COUNT  # no frequent pair is left
     with pytest.raises(ValueError):
         token_binary.Shard(payload + b"x")
 
@@ -160,7 +162,7 @@ def near_by_brute_force(texts):
     return connected(sets, near), near
 
 
-@pytest.mark.parametrize("more", [{}, {"crowd": 1}])
+@pytest.mark.parametrize("more", [{}, {"slice_rows": 3}])
 def test_near_duplicates_behind_a_dissimilar_head(spark, more):
     """Table-like texts, all of one word fingerprint, with one-word copies; and a crowd that shares most, but not enough, with its head."""
     rng = np.random.default_rng(5)
@@ -385,13 +387,68 @@ def test_decontamination_blocks_agree(spark, monkeypatch):
     assert len(one) > 16 and find() == one
 
 
+def weighted_similarity(a, b, weight):
+    low = sum(weight(x) * min(a[x], b[x]) for x in a.keys() & b.keys())
+    return low / sum(weight(x) * max(a[x], b[x]) for x in a.keys() | b.keys())
+
+
+def test_decontamination_of_all_windows_by_brute_force(spark, monkeypatch):
+    """Every window of every text against every item, without fingerprints: edited, cut, repeated, short and long passages."""
+    rng = np.random.default_rng(8)
+    word = lambda n: [f"v{x}" for x in rng.integers(0, 4000, n)]
+    common = word(12)
+    items = [(i, word(n) + (common if i % 3 == 0 else []) + word(4)) for i, n in enumerate((3, 4, 9, 50, 70, 90, 120, 200) * 4)]
+    items += [(100, ["one", "two"]), (101, ["one"]), (102, []), (103, ["la"] * 12)]
+    docs = []
+    for i, w in items:
+        for changes in (0, 1, 2, 5):
+            new = list(w)
+            for at in rng.integers(0, max(1, len(w)), changes).tolist()[: len(w)]:
+                new[at : at + 1] = word(int(rng.integers(0, 3)))
+            docs.append(word(int(rng.integers(0, 30))) + new + word(int(rng.integers(0, 30))) + (new[: len(new) // 2] if changes == 2 else []))
+    docs += [[], ["la"] * 40, word(300) + items[5][1] + word(300) + items[5][1], items[7][1][:50]]
+    size = lambda w: min(5, len(w))
+    grams = lambda w, k: [(k, *w[i : i + k]) for i in range(len(w) - k + 1)] if k else []
+    df = collections.Counter(x for _, w in items for x in set(grams(w, size(w))))
+    n = len(items)
+    weight = lambda x: 1 + math.log(n / df.get(x, 1))
+    want = {}
+    for d, text in enumerate(docs):
+        for i, w in items:
+            k = size(w)
+            bag, own = collections.Counter(grams(w, k)), grams(text, k)
+            span = min(len(w) - k + 1, len(own))
+            for start in range(len(own) - span + 1 if bag and own else 0):
+                sim = weighted_similarity(bag, collections.Counter(own[start : start + span]), weight)
+                if sim >= 0.8 - 1e-9 and sim > want.get((d, i), (0, 0))[0] + 1e-9:
+                    want[d, i] = sim, start
+    docs_df = spark.createDataFrame([(d, " ".join(w)) for d, w in enumerate(docs)], "doc_id bigint, text string")
+    items_df = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id bigint, text string")
+    for segment in (8192, 7):
+        monkeypatch.setattr(decontaminate, "SEGMENT", segment)
+        got = {(r.id, r.item_id): (r.similarity, r.start_word) for r in decontaminate.matches(docs_df, items_df).collect()}
+        assert got.keys() == want.keys() and len(want) > 60
+        assert all(math.isclose(got[x][0], want[x][0]) and got[x][1] == want[x][1] for x in want)
+
+
+def test_radius_holds_what_is_similar_enough():
+    """Fingerprints of random texts at a similarity just over 0.8 differ in the radius."""
+    rng, far = np.random.default_rng(9), []
+    for _ in range(4000):
+        n = int(rng.integers(10, 60))
+        shared, rest = rng.integers(0, 1 << 63, n, dtype=np.uint64), rng.integers(0, 1 << 63, (2, n // 8), dtype=np.uint64)
+        a, b = (decontaminate.pack(decontaminate.signs(np.concatenate([shared, r])).sum(0, keepdims=True))[0] for r in rest)
+        far.append(int(a ^ b).bit_count())
+    assert max(far) <= decontaminate.RADIUS and np.mean(far) > 7
+
+
 def test_multi_index_blocks_find_all_in_the_radius():
     rng = np.random.default_rng(1)
     index = decontaminate.Index([(i, " ".join(map(str, rng.integers(0, 10**6, 12)))) for i in range(50)])
     part = index.parts[5]
     for _ in range(300):
         k = int(rng.integers(50))
-        flip = sum(1 << int(b) for b in rng.choice(64, 15, replace=False))
+        flip = sum(1 << int(b) for b in rng.choice(64, decontaminate.RADIUS, replace=False))
         value = np.array([int(part["prints"][k]) ^ flip], np.uint64).view(np.uint8)
         assert any(part["probes"][j][value[j]][k] for j in range(8))
 
