@@ -8,9 +8,11 @@ counted from labelled pages (``labelled_pages``; any others can be given).  Sum-
 leaves and downward from the root; they are exact on a tree and give each node's marginal.  Text of nodes with a marginal
 over one half is kept.
 
-A block's white space becomes one space; blocks are joined in page order by an empty line.  Null and empty pages, and
+A block's white space becomes one space; blocks are joined in page order by an empty line.  Elements outside ``BLOCK``,
+unknown ones among them, stand inside their block and part it no more than a word.  Null and empty pages, and
 pages without content, give the empty text.  Broken markup never fails: what is no tag is text, open elements end with
-their parents or the page.  Repeated rows are answered each; only the named columns are read.
+their parents or the page; the time is linear in the page, however deep or unbalanced it is.  Repeated rows are answered
+each; only the named columns are read, and one in keep that is named like a column of the result is left out.
 """
 
 from __future__ import annotations
@@ -27,15 +29,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrays_batch, table
+from .common import arrays_batch, portions, table
 
 _words = lambda s: frozenset(s.split())
-# Fixed values of HTML: elements without content, with raw text, inline ones, and those whose start ends an open one.
+# Fixed values of HTML: elements without content, those whose content isn't shown as text, blocks, and those whose start ends an open one.
 VOID = _words("area base br col embed hr img input link meta param source track wbr")
-RAW = _words("script style textarea title noscript iframe template svg math object canvas select")
-INLINE = _words("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rp rt s samp small span strike strong sub sup time tt u var wbr br button output")
+RAW = _words("script style textarea title iframe select")
 SPEAKING = _words("button label output")
 ENDS_PARAGRAPH = _words("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul")
+BLOCK = ENDS_PARAGRAPH | _words("html head body li dt dd caption thead tbody tfoot tr td th legend center frameset noframes title script style textarea select option optgroup")
 SIBLINGS = {"li": "li", "dt": "dt dd", "dd": "dt dd", "option": "option", "tr": "tr td th", "td": "td th", "th": "td th", "tbody": "tr td th thead tbody", "thead": "tr td th", "tfoot": "tr td th thead tbody"}
 SIBLINGS = {k: _words(v) for k, v in SIBLINGS.items()}
 SCOPES = _words("ul ol dl table select article section div aside nav main body html td th blockquote footer header form")
@@ -44,9 +46,16 @@ SHELL = _words("#page html head body")
 GENERIC = _words("p li ul ol dl dt dd h1 h2 h3 h4 h5 h6 table thead tbody tfoot tr td th caption blockquote pre figure figcaption div section hgroup details summary center address a span b i em strong small code label")
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)""", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
+_INLINE_SCOPES, _PARAGRAPH_SCOPES = frozenset(ENDS_PARAGRAPH - {"p"}), frozenset(SCOPES | {"button"})
+_SIBLING_SCOPES = frozenset({"ul", "ol", "dl", "table", "select"})
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
+@functools.cache
+def _end_of(tag: str) -> re.Pattern:
+    return re.compile(rf"</{tag}(?=[\s/>])[^>]*>|</{tag}\Z", re.I)
+
+
 class Node:
     __slots__ = ("block", "chars", "evidence", "label", "link", "parent", "tag")
 
@@ -59,7 +68,9 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, int, str]]]:
     nodes = [Node("#page", -1, True, [], None)]
     pieces: list[tuple[int, int, str]] = []
     stack: list[tuple[str, int, bool]] = [("#page", 0, False)]  # tag, node, whether in a link
+    places: dict[str, list[int]] = {}  # where the open elements of each tag stand on the stack
     block = at = 0
+    last_close: dict[str, int] = {}
 
     def text(raw: str) -> None:
         if raw:
@@ -72,18 +83,19 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, int, str]]]:
     def pop(to: int) -> None:
         nonlocal block
         for tag, _, _ in stack[to:]:
-            if tag not in INLINE:
+            places[tag].pop()
+            if tag in BLOCK:
                 block += 1
         del stack[to:]
 
+    def nearest(tags: Iterable[str]) -> int:
+        return max((places[t][-1] for t in tags if places.get(t)), default=0)
+
     def end(tags: Iterable[str], scopes: frozenset = SCOPES) -> None:
         """Ends the nearest open element of tags, unless a scope stands before it."""
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k][0] in tags:
-                return pop(k)
-            if stack[k][0] in scopes:
-                return None
-        return None
+        k = nearest(tags)
+        if k and k >= nearest(scopes):
+            pop(k)
 
     while True:
         found = _TAG.search(page, at)
@@ -96,15 +108,12 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, int, str]]]:
             continue
         tag, rest = tag.lower(), found[3] if found[2] else found[6]
         if found[1] or found[4]:
-            if tag in INLINE:
-                end((tag,), frozenset(ENDS_PARAGRAPH - {"p"}))
-            else:
-                end((tag,), frozenset())
+            end((tag,), frozenset() if tag in BLOCK else _INLINE_SCOPES)
             continue
         if tag in ENDS_PARAGRAPH:
-            end(("p",), frozenset(SCOPES | {"button"}))
+            end(("p",), _PARAGRAPH_SCOPES)
         if tag in SIBLINGS:
-            end(SIBLINGS[tag], frozenset({"ul", "ol", "dl", "table", "select"}))
+            end(SIBLINGS[tag], _SIBLING_SCOPES)
         if tag == "br":
             text(" ")
             continue
@@ -117,11 +126,15 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, int, str]]]:
                 said.append("w:hidden")
             elif name == "data-y":
                 label = int(a or b or c)
-        inline = tag in INLINE
+        inline = tag not in BLOCK
         if not inline:
             block += 1
         if tag in RAW and not rest.endswith("/"):
-            close = re.compile(rf"</{tag}(?=[\s/>])[^>]*>|</{tag}\Z", re.I).search(page, at)
+            if last_close.get(tag, at) < 0:  # no end tag follows any more
+                close = None
+            else:
+                close = _end_of(tag).search(page, at)
+                last_close[tag] = -1 if close is None else close.end()
             at = close.end() if close else len(page)
             continue
         if tag in VOID or (rest.endswith("/") and tag not in SCOPES):
@@ -130,6 +143,7 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, int, str]]]:
         if not inline or said or tag in SPEAKING or label is not None:
             nodes.append(Node(tag, node, not inline, ["t:" + tag, *dict.fromkeys(said)], label))
             node = len(nodes) - 1
+        places.setdefault(tag, []).append(len(stack))
         stack.append((tag, node, link))
     return nodes, pieces
 
@@ -333,15 +347,16 @@ def default_model() -> dict:
 def main_text(df: DataFrame, *, html_col: str = "html", keep: Sequence[str] = (), model: dict | None = None) -> DataFrame:
     """The columns in keep, text and n_chars for each row of df.  The model is a few thousand numbers."""
     shared = df.sparkSession.sparkContext.broadcast(model or default_model())
+    keep = [k for k in keep if k not in ("text", "n_chars")]
+    chosen = df.select(F.col(html_col), *keep).toDF("__html", *[f"__k{i}" for i in range(len(keep))])
 
     def run(batches):
-        for batch in batches:
+        for batch in (p for b in batches for p in portions(b, "__html")):
             texts = [extract(p, shared.value) for p in batch.column("__html").to_pylist()]
-            yield arrays_batch({c: batch.column(c) for c in keep} | {"text": pa.array(texts, pa.string()), "n_chars": pa.array([len(t) for t in texts], pa.int64())})
+            yield arrays_batch({f.name: batch.column(f.name) for f in batch.schema if f.name != "__html"} | {"text": pa.array(texts, pa.string()), "n_chars": pa.array([len(t) for t in texts], pa.int64())})
 
-    chosen = df.select(*keep, F.col(html_col).alias("__html"))
-    schema = [f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema if f.name != "__html"]
-    return chosen.mapInArrow(run, ", ".join([*schema, "text string", "n_chars bigint"]))
+    schema = [f"{f.name} {f.dataType.simpleString()}" for f in chosen.schema if f.name != "__html"]
+    return chosen.mapInArrow(run, ", ".join([*schema, "text string", "n_chars bigint"])).toDF(*keep, "text", "n_chars")
 
 
 def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

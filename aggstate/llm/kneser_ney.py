@@ -2,7 +2,8 @@
 
 Counting.  Each task hashes its texts' words (64 bits), makes every bigram of a few megabytes of text distinct with its
 count, and hands out one compressed block for each shard.  A bigram's shard is chosen by its context's hash and, within
-that, by its word's, so the bigrams of a frequent context are spread over ``SPREAD`` shards.  A shard's task merges its
+that, by its word's, so the bigrams of a frequent context are spread over ``SPREAD`` shards, or one in 64 of all.  There is
+a shard for each ``SHARD_BYTES`` of input as Spark estimates it, so a task's memory doesn't grow with the input.  Its task merges its
 blocks, writes the sorted hash array and the counts into the shared folder, and returns sums by word: count, number of
 different contexts, and as a context its total and how many continuations were seen once, twice and more often.  Those
 sums are added up and written as sorted hash arrays too, by ranges of the hash.
@@ -34,8 +35,14 @@ from pyspark.sql import functions as F
 from .common import SPACES, U64, arrays_batch, blocks, byte_class, mix64, shared_folder, string_buffer, table, words_of
 
 END, BEGIN = U64(0x5851F42D4C957F2D), U64(0x14057B7EF767814F)
-#: Shards that the bigrams of one context are spread over.
+#: Shards that the bigrams of one context are spread over at least.
 SPREAD = 8
+#: Bytes of input (as stored) for each shard.
+SHARD_BYTES = 4 << 20
+#: Tasks that the shards are dealt to at most; a task takes one after the other.
+MOST_TASKS = 1 << 15
+#: Arrays that a worker keeps mapped at a time.
+MAPPED = 8192
 #: Tokens whose bigrams are made distinct together before they are handed out.
 PORTION = 4_000_000
 LEAST_DISCOUNT = 0.05
@@ -45,8 +52,20 @@ def pair_key(context: np.ndarray, word: np.ndarray) -> np.ndarray:
     return mix64(context * U64(0x9E3779B97F4A7C15) ^ word)
 
 
+def spread_of(shards: int) -> int:
+    return max(SPREAD, shards // 64)
+
+
 def shard_of(context: np.ndarray, word: np.ndarray, shards: int) -> np.ndarray:
-    return ((context >> U64(20)) % U64(shards // SPREAD) * U64(SPREAD) + (word >> U64(20)) % U64(SPREAD)).astype(np.int64)
+    spread = spread_of(shards)
+    return ((context >> U64(20)) % U64(max(1, shards // spread)) * U64(spread) + (word >> U64(20)) % U64(spread)).astype(np.int64)
+
+
+def shards_for(df: DataFrame) -> int:
+    """Shards by the size of df's input; by the session's shuffle partitions where Spark doesn't know it (tables of the driver)."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    shards = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) if size >= 1 << 60 else -(-size // SHARD_BYTES)
+    return max(2, -(-shards // SPREAD)) * SPREAD
 
 
 def tokens_of(column: pa.Array):
@@ -93,7 +112,7 @@ def _counting(shards: int):
                 a, b = edges[s], edges[s + 1]
                 fresh = np.append(True, context[a + 1 : b] != context[a : b - 1])
                 runs = np.diff(np.append(np.flatnonzero(fresh), b - a)).astype("<u4")
-                out.append(np.array([b - a, len(runs)], "<u4").tobytes() + squeeze.compress(context[a:b][fresh].tobytes() + runs.tobytes() + np.minimum(n[a:b], 0xFFFFFFFF).astype("<u4").tobytes() + word[a:b].tobytes()))
+                out.append(np.array([b - a, len(runs)], "<u4").tobytes() + squeeze.compress(context[a:b][fresh].tobytes() + runs.tobytes() + n[a:b].astype("<u4").tobytes() + word[a:b].tobytes()))
             return arrays_batch({"shard": full.astype(np.int32), "block": pa.array(out, pa.binary())})
 
         for batch in batches:
@@ -141,7 +160,7 @@ def _merging(folder: str):
         parts = [_open_block(b) for b in group.column("block").to_pylist()]
         context, word, n = (np.concatenate([p[k] for p in parts]) for k in range(3))
         context, word, n, keys = _distinct(context, word, n, pair_key(context, word))
-        _save(folder, f"pairs-{key[0].as_py()}", keys=keys, counts=np.minimum(n, 0xFFFFFFFF).astype("<u4"))
+        _save(folder, f"pairs-{key[0].as_py()}", keys=keys, counts=n.astype("<u8"))
         names, where = np.unique(np.concatenate([word, context]), return_inverse=True)
         w, c = where[: len(word)], where[len(word) :]
         total = lambda at, weights=None: np.bincount(at, weights=weights, minlength=len(names)).astype(np.int64)
@@ -166,11 +185,11 @@ def discounts(counts_of_counts: dict[int, int]) -> np.ndarray:
 def train(df: DataFrame, *, text_col: str = "text", shards: int | None = None) -> dict:
     """Counts df's texts and writes the arrays; returns where they are and the few numbers that all words share."""
     spark = df.sparkSession
-    wanted = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    shards = max(2, -(-wanted // SPREAD)) * SPREAD
+    chosen = df.select(F.col(text_col).alias("text"))
+    shards = max(2, -(-shards // SPREAD)) * SPREAD if shards else shards_for(chosen)
     folder = local_path(shared_folder(spark, "ngrams"))
-    blocks_ = df.select(F.col(text_col).alias("text")).mapInArrow(_counting(shards), "shard int, block binary")
-    merged = blocks_.groupBy("shard").applyInArrow(_merging(folder), "kind int, word bigint, " + ", ".join(f"{k} bigint" for k in WORD_SUMS))
+    blocks_ = chosen.mapInArrow(_counting(shards), "shard int, block binary")
+    merged = blocks_.repartition(min(shards, MOST_TASKS), "shard").groupBy("shard").applyInArrow(_merging(folder), "kind int, word bigint, " + ", ".join(f"{k} bigint" for k in WORD_SUMS))
     sums = merged.groupBy("kind", "word").agg(*[F.sum(k).alias(k) for k in WORD_SUMS])
     place = f"{shared_folder(spark, 'words')}"
     sums.write.parquet(place)
@@ -204,6 +223,8 @@ class Lookup:
 
     def open(self, name: str, second: str, kind: str) -> tuple[np.ndarray, np.ndarray]:
         if name not in self.maps:
+            if len(self.maps) >= MAPPED:
+                self.maps.clear()
             files = [f"{self.m['folder']}/{name}.{k}" for k in ("keys", second)]
             if os.path.exists(files[0]) and os.path.getsize(files[0]):
                 values = np.memmap(files[1], kind, "r")
@@ -230,7 +251,7 @@ class Lookup:
         return self._find(names, part, "words", "sums", "<i8", np.zeros((len(names), len(WORD_SUMS)), np.int64))
 
     def pairs(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
-        return self._find(pair_key(context, word), shard_of(context, word, self.m["shards"]), "pairs", "counts", "<u4", np.zeros(len(word), np.int64))
+        return self._find(pair_key(context, word), shard_of(context, word, self.m["shards"]), "pairs", "counts", "<u8", np.zeros(len(word), np.int64))
 
     def score(self, tokens: np.ndarray, contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Training count and log10 probability of each token after its context."""

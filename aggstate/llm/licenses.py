@@ -28,6 +28,17 @@ from .common import NOT_ALPHANUMERIC, arrays_batch, blocks, byte_class, hash_tex
 # Phrases and their labels, as the query's contract names them.
 PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
 
+_BSD_CLAUSES = """redistribution and use in source and binary forms, with or without modification, are permitted provided that the following
+    conditions are met: <<beginOptional>>1.<<endOptional>> redistributions of source code must retain the above copyright notice, this list of
+    conditions and the following disclaimer. <<beginOptional>>2.<<endOptional>> redistributions in binary form must reproduce the above copyright
+    notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."""
+_BSD_DISCLAIMER = """ this software is provided by <<var;1-12>> as is and any express or implied warranties, including, but not limited to, the
+    implied warranties of merchantability and fitness for a particular purpose are disclaimed. in no event shall <<var;1-12>> be liable for any
+    direct, indirect, incidental, special, exemplary, or consequential damages (including, but not limited to, procurement of substitute goods or
+    services; loss of use, data, or profits; or business interruption) however caused and on any theory of liability, whether in contract, strict
+    liability, or tort (including negligence or otherwise) arising in any way out of the use of this software, even if advised of the possibility
+    of such damage"""
+#: Whole texts of the short licences, and the notices by which works name the others.
 TEMPLATES = {
     "apache-2.0": "licensed under the apache license <<beginOptional>>version<<endOptional>> 2.0",
     "gpl-3.0": "gnu general public license <<beginOptional>>as published by the free software foundation either<<endOptional>> <<beginOptional>>version<<endOptional>> <<beginOptional>>v<<endOptional>> 3 <<beginOptional>>or at your option any later version<<endOptional>>",
@@ -43,14 +54,18 @@ TEMPLATES = {
         this permission notice <<beginOptional>>(including the next paragraph)<<endOptional>> shall be included in all copies or
         substantial portions of the software. the software is provided as is, without warranty of any kind, express or implied,
         including but not limited to the warranties of merchantability, fitness for a particular purpose and noninfringement.
-        in no event shall <<var;2-12>> be liable for any claim, damages or other liability""",
-    "isc-text": """permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby
-        granted, provided that the above copyright notice and this permission notice appear in all copies""",
-    "bsd-2-clause": """redistribution and use in source and binary forms, with or without modification, are permitted provided that
-        the following conditions are met: <<beginOptional>>1.<<endOptional>> redistributions of source code must retain the above
-        copyright notice, this list of conditions and the following disclaimer. <<beginOptional>>2.<<endOptional>> redistributions
-        in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the
-        documentation and/or other materials provided with the distribution""",
+        in no event shall <<var;2-12>> be liable for any claim, damages or other liability, whether in an action of contract, tort
+        or otherwise, arising from, out of or in connection with the software or the use or other dealings in the software""",
+    "isc-text": """permission to use, copy, modify, and<<beginOptional>>/or<<endOptional>> distribute this software for any purpose with or without
+        fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. the software is
+        provided as is and <<var;1-8>> disclaims all warranties with regard to this software including all implied warranties of
+        merchantability and fitness. in no event shall <<var;1-8>> be liable for any special, direct, indirect, or consequential damages or
+        any damages whatsoever resulting from loss of use, data or profits, whether in an action of contract, negligence or other tortious
+        action, arising out of or in connection with the use or performance of this software""",
+    "bsd-2-clause": _BSD_CLAUSES + _BSD_DISCLAIMER,
+    "bsd-3-clause": _BSD_CLAUSES + """ <<beginOptional>>3.<<endOptional>> neither the name of <<var;1-12>> nor the names of <<beginOptional>>its<<endOptional>>
+        <<beginOptional>>the<<endOptional>> <<beginOptional>>copyright holder<<endOptional>> contributors may be used to endorse or promote products derived
+        from this software without specific prior written permission.""" + _BSD_DISCLAIMER,
 }
 
 

@@ -4,11 +4,14 @@ The filter is a table of blocks of four 64-bit words.  A URL's first hash choose
 word; blocks are made by a bit_or aggregate, which Spark combines before the shuffle.  Its size follows from the number
 of listed URLs (about 16 bits each), so it is known before it is used: up to ``BROADCAST_BYTES`` it is broadcast, beyond
 that it is joined by block.  Possible hits are joined with the list by the canonical URL itself, which removes the false
-positives; all other rows never reach that join.
+positives.  A list of at most ``BROADCAST_ROWS`` URLs of ``BROADCAST_CHARS`` characters in all is broadcast (it is counted
+first), so that join moves no row; with a longer one only possible hits are shuffled for it, and all other rows pass it by.
 
 Rules (host, path) come first: a rule fits its host and all subdomains, for paths that start with the rule's; the
 longest rule wins, of equally long ones a blocking one.  A null URL, or one without ``://``, has empty host and path, and
-is never listed.  Null and repeated list entries count once or not at all; an empty list blocks nothing.
+is never listed; such rows are spread over blocks that the filter doesn't have.  Null and repeated list entries count once
+or not at all; an empty list blocks nothing.  Repeated rows are judged each.  Columns may have any names: one in keep that is
+named like a column of the result is left out.
 """
 
 from __future__ import annotations
@@ -18,10 +21,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, table
+from .common import cut, masked, table
 
 BROADCAST_BYTES = 8 << 20
 BLOCK_BYTES = 40
+BROADCAST_ROWS, BROADCAST_CHARS = 1 << 17, 8 << 20
+NULL_SPREAD = 1024
 # The rules that the query's contract names (verdict, host, path).
 RULES = (
     ("allow", "com", "/"),
@@ -68,30 +73,41 @@ def bloom(listed: DataFrame, url: str, count: int) -> tuple[DataFrame, int]:
 def listed_rows(df: DataFrame, url: str, listed: DataFrame, listed_url: str) -> DataFrame:
     """df with a boolean column ``listed``: whether the canonical URL in column url stands in listed."""
     entries = cut(listed.select(F.col(listed_url).alias("__entry")).filter("__entry is not null").distinct())
-    filter_rows, bits = bloom(entries, "__entry", entries.count())
+    size = entries.agg(F.count("*").alias("n"), F.sum(F.length("__entry")).alias("chars")).first()
+    filter_rows, bits = bloom(entries, "__entry", size["n"])
+    filter_rows = filter_rows.toDF("__block", *[f"__w{j}" for j in range(4)])
     if (BLOCK_BYTES << bits) <= BROADCAST_BYTES:
         filter_rows = F.broadcast(filter_rows)
-    probe = df.withColumn("block", F.shiftrightunsigned(F.xxhash64(url), 64 - bits))
-    marks = _marks(F.col(url))
+    named, c = masked(df)
+    own = c[url]
+    nowhere = -1 - F.pmod(F.xxhash64(*c.values()), F.lit(NULL_SPREAD))
+    probe = named.withColumn("__block", F.when(F.col(own).isNull(), nowhere).otherwise(F.shiftrightunsigned(F.xxhash64(own), 64 - bits)))
     possible = F.lit(True)
-    for j, m in enumerate(marks):
-        possible = possible & (F.col(f"w{j}").bitwiseAND(m) == m)
-    tried = probe.join(filter_rows, "block", "left").withColumn("__maybe", F.col(url).isNotNull() & F.coalesce(possible, F.lit(False)))
-    tried = tried.select(*df.columns, "__maybe")
-    exact = tried.filter("__maybe").join(entries, F.col(url) == F.col("__entry"), "left").select(*df.columns, F.col("__entry").isNotNull().alias("listed"))
-    return exact.unionByName(tried.filter("not __maybe").select(*df.columns, F.lit(False).alias("listed")))
+    for j, m in enumerate(_marks(F.col(own))):
+        possible = possible & (F.col(f"__w{j}").bitwiseAND(m) == m)
+    tried = probe.join(filter_rows, "__block", "left").withColumn("__maybe", F.col(own).isNotNull() & F.coalesce(possible, F.lit(False)))
+    tried = tried.select(*c.values(), "__maybe")
+    same = F.col(own) == F.col("__entry")
+    if size["n"] <= BROADCAST_ROWS and (size["chars"] or 0) <= BROADCAST_CHARS:
+        out = tried.join(F.broadcast(entries), same & F.col("__maybe"), "left").select(*c.values(), F.col("__entry").isNotNull())
+    else:
+        exact = tried.filter("__maybe").join(entries, same, "left").select(*c.values(), F.col("__entry").isNotNull().alias("__listed"))
+        out = exact.unionByName(tried.filter("not __maybe").select(*c.values(), F.lit(False).alias("__listed")))
+    return out.toDF(*df.columns, "listed")
 
 
 def judge(df: DataFrame, listed: DataFrame, *, url_col: str = "url", listed_col: str = "canonical", rules: Sequence[tuple[str, str, str]] = RULES, keep: Sequence[str] = ()) -> DataFrame:
     """The columns in keep, host, path, rule, verdict and listed, for each row of df.  listed holds canonical URLs."""
-    base = df.select(*keep, F.col(url_col).alias("__url"))
-    parts = base.select(*keep, host(F.col("__url")).alias("host"), path(F.col("__url")).alias("path"), canonical(F.col("__url")).alias("__canonical"))
+    keep = [k for k in keep if k not in ("host", "path", "rule", "verdict", "listed")]
+    inner = {f"__k{i}": k for i, k in enumerate(keep)}
+    own = F.col(url_col)
+    parts = df.select(*[F.col(k).alias(x) for x, k in inner.items()], host(own).alias("host"), path(own).alias("path"), canonical(own).alias("__canonical"))
     rows = listed_rows(parts, "__canonical", listed, listed_col)
     rule, verdict = F.lit(None).cast("string"), F.when(F.col("listed"), "block").otherwise("allow")
     for what, name, start in sorted(rules, key=lambda r: (len(r[1] + r[2]), r[0] == "block", r[1] + r[2])):  # the last one set wins
         fits = ((F.col("host") == name) | F.col("host").endswith("." + name)) & F.col("path").startswith(start)
         rule, verdict = F.when(fits, name + start).otherwise(rule), F.when(fits, what).otherwise(verdict)
-    return rows.select(*keep, "host", "path", rule.alias("rule"), verdict.alias("verdict"), "listed")
+    return rows.select(*[F.col(x).alias(k) for x, k in inner.items()], "host", "path", rule.alias("rule"), verdict.alias("verdict"), "listed")
 
 
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
