@@ -13,8 +13,13 @@ from pyspark.sql import types as T
 def byte_at(data: Column, at: int | Column) -> Column:
     """The byte at a place counted from 0, as a bigint; null beyond the end."""
     place = at if isinstance(at, Column) else F.lit(at)
-    one = F.hex(F.substring(data, place + 1, F.lit(1)))
-    return F.when(one != "", F.conv(one, 16, 10).cast("bigint"))
+    one = F.substring(data, place + 1, F.lit(1))
+    return F.when(F.octet_length(one) == 1, F.ascii(F.decode(one, "ISO-8859-1")).cast("bigint"))
+
+
+def byte_or_zero(data: Column, at: int | Column) -> Column:
+    """The byte at a place; 0 beyond the end, as arrays of some engines read."""
+    return F.coalesce(byte_at(data, at), F.lit(0).cast("bigint"))
 
 
 def le_uint(data: Column, at: int, width: int) -> Column:
@@ -31,33 +36,35 @@ def to_le(value: Column, width: int) -> Column:
     return F.unhex(F.concat(*[F.lpad(F.hex(F.shiftrightunsigned(number, 8 * k).bitwiseAND(F.lit(255))), 2, "0") for k in range(width)]))
 
 
-def _shift(value: Column, by: Column, name: str) -> Column:
-    return F.call_function(name, value, by.cast("int"))
-
-
 def leb128(value: Column) -> Column:
     """LEB128 of 0 up to 2**63 - 1; other numbers raise."""
     number = value.cast("bigint")
-    n = F.floor((F.length(F.bin(number)) + 6) / 7).cast("int")
-
-    def group(i: Column) -> Column:
-        low = _shift(number, i * 7, "shiftrightunsigned").bitwiseAND(F.lit(127))
-        return F.lpad(F.hex(low.bitwiseOR(F.when(i < n - 1, 128).otherwise(0))), 2, "0")
-
-    code = F.unhex(F.array_join(F.transform(F.sequence(F.lit(0), n - 1), group), ""))
+    groups = []
+    for k in range(9):
+        low = F.shiftrightunsigned(number, 7 * k).bitwiseAND(F.lit(127))
+        more = F.shiftrightunsigned(number, 7 * k + 7) > 0 if k < 8 else F.lit(False)
+        byte = F.lpad(F.hex(F.when(more, low.bitwiseOR(F.lit(128))).otherwise(low)), 2, "0")
+        groups.append(byte if not k else F.when(F.shiftrightunsigned(number, 7 * k) > 0, byte))
+    code = F.when(number.isNotNull(), F.unhex(F.concat_ws("", *groups)))
     return F.when(number < 0, F.raise_error(F.lit("LEB128 of a negative number"))).otherwise(code)
 
 
 def leb128_length(data: Column) -> Column:
-    """How many bytes the LEB128 number at the start of data has."""
-    places = F.sequence(F.lit(0), F.least(F.octet_length(data), F.lit(9)) - 1)
-    return F.array_position(F.transform(places, lambda i: byte_at(data, i) < 128), True).cast("int")
+    """How many bytes the LEB128 number at the start of data has; null if it doesn't end within nine."""
+    out = F.lit(None).cast("int")
+    for k in reversed(range(9)):
+        out = F.when(byte_at(data, k) < 128, F.lit(k + 1)).otherwise(out)
+    return out
 
 
 def leb128_value(data: Column) -> Column:
-    """The LEB128 number at the start of data."""
-    places = F.sequence(F.lit(0), leb128_length(data) - 1)
-    return F.aggregate(places, F.lit(0).cast("bigint"), lambda out, i: out.bitwiseOR(_shift(byte_at(data, i).bitwiseAND(F.lit(127)), i * 7, "shiftleft")))
+    """The LEB128 number at the start of data; null if it doesn't end within nine bytes."""
+    out = F.lit(None).cast("bigint")
+    for k in reversed(range(9)):
+        byte = byte_at(data, k)
+        rest = F.shiftleft(byte.bitwiseAND(F.lit(127)), 7 * k)
+        out = F.when(byte < 128, rest).otherwise(rest.bitwiseOR(out))
+    return out
 
 
 def strip_leb128(data: Column) -> Column:
@@ -119,3 +126,28 @@ def tsv_row(*values: Column) -> Column:
 def unquoted_base64(value: Column) -> Column:
     """The bytes of base64 that may stand in double quotes."""
     return F.unbase64(F.regexp_replace(value, '^"+|"+$', ""))
+
+
+# ---- packing by expressions alone
+
+
+def pack5(registers: Column, count: int) -> Column:
+    """An array of count numbers of five bits each as bytes, lowest bit first; each byte gathers from three of them at most."""
+    at = lambda i: F.coalesce(F.get(registers, i), F.lit(0)).cast("bigint")
+
+    def byte(b: Column) -> Column:
+        first = F.floor(b * 8 / 5).cast("int")
+        three = at(first).bitwiseOR(F.shiftleft(at(first + 1), 5)).bitwiseOR(F.shiftleft(at(first + 2), 10))
+        return F.lpad(F.hex(F.call_function("shiftright", three, (b * 8 - first * 5).cast("int")).bitwiseAND(F.lit(255))), 2, "0")
+
+    return F.unhex(F.array_join(F.transform(F.sequence(F.lit(0), F.lit(count * 5 // 8 - 1)), byte), ""))
+
+
+def hll12_bytes(registers: Column) -> Column:
+    """A dense 12-bit state of an array of 4096 ranks, by expressions alone: type, registers, histogram, zeros."""
+    def count(rank: int) -> Column:
+        return F.size(F.filter(registers, lambda v: v >= rank if rank == 21 else v == rank))
+
+    counts = [count(r) for r in range(22)]
+    capped = F.transform(registers, lambda v: F.least(v, F.lit(21)))
+    return F.concat(F.unhex(F.lit("01")), pack5(capped, 4096), *[to_le(c, 4) for c in counts], to_le(counts[0], 2))

@@ -52,6 +52,12 @@ def grains(hourly: DataFrame, wanted: Sequence[tuple[str, str, tuple[str, ...]]]
     return out
 
 
+def identity_grain(parts: DataFrame, keys: Sequence[str], sketch: str) -> DataFrame:
+    """(keys, events, sketch): a group of one row carries its sketch's bytes as they are; larger groups are united."""
+    rows = parts.groupBy(*keys).agg(F.sum("events").cast("bigint").alias("events"), F.count(F.lit(1)).alias("__n"), F.first(sketch).alias("__one"), F.hll_union_agg(sketch, F.lit(True)).alias("__all"))
+    return rows.select(*keys, "events", F.when(F.col("__n") == 1, F.col("__one")).otherwise(F.col("__all")).alias(sketch))
+
+
 def top(df: DataFrame, measure: str, n: int, *ties: str) -> DataFrame:
     """The n largest rows by measure; ties are broken by the columns in ties."""
     return df.orderBy(F.desc(measure), *ties).limit(n)

@@ -7,7 +7,8 @@ to mix them.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -16,9 +17,32 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from aggstate.functions import estimates as E
 from aggstate.functions import registers as R
 
 
+@dataclass(frozen=True)
+class Family:
+    """A kind of state: which K a sketch's column gets, how registers are written and read, and a state's estimate."""
+
+    k_for: Callable[[int], int]
+    encode: Callable[[np.ndarray, int], bytes]
+    decode: Callable[[bytes, int], np.ndarray]
+    from_sketch: Callable[[bytes, int], bytes]
+    hashes: Callable[[bytes], np.ndarray | None] = lambda state: None  # noqa: E731, of a state that holds them all
+
+    def estimate(self, state: bytes, k: int) -> float:
+        small = self.hashes(state)
+        return float(len(np.unique(small))) if small is not None else R.estimate(self.decode(state, k))
+
+
+FAMILIES = {
+    "hll": Family(lambda lg: lg, lambda v, k: None, R.sketch_registers, lambda s, k: s),
+    "hll12": Family(lambda lg: 12, lambda v, k: R.encode_hll12(v), lambda s, k: R.decode_hll12(s), lambda s, k: R.hll12_from_sketch(s), R.hll12_small),
+    "combined": Family(R.target_k, R.encode_combined, R.decode_combined, R.combined_from_sketch),
+}
+
+
 def tagged(column: Column, name: str, *, family: str, k: int, origin: str) -> Column:
     return column.alias(name, metadata={"family": family, "k": k, "origin": origin})
 
@@ -52,7 +76,7 @@ def native(df: DataFrame, keys: Sequence[str], value: str, k: int) -> DataFrame:
 
 def opened(df: DataFrame, keys: Sequence[str], state: str, *, family: str, k: int) -> DataFrame:
     """(keys, bucket, rank) of binary states: hll (sketches), hll12 or combined; null states are empty."""
-    read = {"hll": lambda s: R.sketch_registers(s, k), "hll12": R.decode_hll12, "combined": lambda s: R.decode_combined(s, k)}[family]
+    read = lambda s: FAMILIES[family].decode(s, k)
 
     def run(batches):
         for batch in batches:
@@ -88,19 +112,55 @@ def estimates(rows: DataFrame, keys: Sequence[str], k: int) -> DataFrame:
 
 def sealed(rows: DataFrame, keys: Sequence[str], *, family: str, k: int) -> DataFrame:
     """(keys, state): united registers as binary states of hll12 or combined.  A group has at most 2**k rows."""
-    write = {"hll12": R.encode_hll12, "combined": lambda v: R.encode_combined(v, k)}[family]
+    write = FAMILIES[family].encode
+    packed = rows.groupBy(*keys).agg(F.collect_list(F.shiftleft(F.col("bucket").cast("bigint"), 8).bitwiseOR(F.col("rank").cast("bigint"))).alias("packed"))
+    chosen = packed.select("packed", *keys).toDF("packed", *[f"k{i}" for i in range(len(keys))])
+
+    def run(batches):
+        for batch in batches:
+            found = batch.column("packed")
+            values, edges = found.flatten().to_numpy(), np.append(0, np.cumsum(found.value_lengths().to_numpy()))
+            states = []
+            for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                registers = np.zeros(1 << k, np.int64)
+                registers[values[lo:hi] >> 8] = values[lo:hi] & 255
+                states.append(write(registers, k))
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(states, pa.binary())], names=[*batch.schema.names[1:], "state"])
+
+    schema = [f"{f.name} {f.dataType.simpleString()}" for f in chosen.schema if f.name != "packed"]
+    return chosen.mapInArrow(run, ", ".join([*schema, "state binary"])).toDF(*keys, "state")
+
+
+def merged_states(df: DataFrame, keys: Sequence[str], column: str, *, family: str, k: int) -> DataFrame:
+    """(keys, column): the union of each key's states, as a state."""
+    return sealed(unite(opened(df, keys, column, family=family, k=k), keys), keys, family=family, k=k).withColumnRenamed("state", column)
 
-    @F.pandas_udf("binary")
-    def run(pairs: pd.Series) -> pd.Series:
-        out = []
-        for own in pairs:
-            values = np.zeros(1 << k, np.int64)
-            for p in own:
-                values[p["bucket"]] = p["rank"]
-            out.append(write(values))
-        return pd.Series(out)
 
-    return rows.groupBy(*keys).agg(F.collect_list(F.struct("bucket", "rank")).alias("pairs")).select(*keys, run("pairs").alias("state"))
+def finalised(state: Column, *, family: str, k: int = 12) -> Column:
+    """The estimate of each row's own state; a small state of hll12 counts its hashes."""
+
+    @F.pandas_udf("double")
+    def run(s: pd.Series) -> pd.Series:
+        return s.map(lambda v: None if v is None else FAMILIES[family].estimate(v, k)).astype(float)
+
+    return run(state)
+
+
+def direct(df: DataFrame, keys: Sequence[str], value: str, k: int) -> DataFrame:
+    """(keys, estimate): distinct integers, exact up to 2**(k - 5) of them (as small containers are), estimated above."""
+    exact = df.filter(F.col(value).isNotNull()).select(*keys, hashed(F.col(value)).alias("h")).groupBy(*keys, "h").agg(F.lit(1).alias("one"))
+    bucket, rank = bucket_rank(F.col("h"), k)
+    rows = exact.select(*keys, "h", bucket.alias("bucket"), rank.alias("rank"))
+    counts = rows.groupBy(*keys).agg(F.count("*").alias("n")).alias("n")
+    found = estimates(unite(rows, keys), keys, k).alias("e")
+    same = [F.col(f"n.{c}").eqNullSafe(F.col(f"e.{c}")) for c in keys]
+    return counts.join(found, same).select(*[F.col(f"n.{c}").alias(c) for c in keys], F.when(F.col("n") <= 1 << (k - 5), F.col("n").cast("double")).otherwise(F.col("estimate")).alias("estimate"))
+
+
+def column_ks(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:
+    """The K that each sketch column's states get: from its coarsest sketch, in one pass; 12 for a column without sketches."""
+    lows = df.agg(*[F.min(F.conv(F.hex(F.substring(c, 4, 1)), 16, 10).cast("int")).alias(c) for c in columns]).first()
+    return {c: 12 if lows[c] is None else R.target_k(lows[c]) for c in columns}
 
 
 def merge_states(df: DataFrame, other: DataFrame, keys: Sequence[str], state: str, *, unsafe: bool = False) -> DataFrame:
@@ -179,3 +239,66 @@ def merged_estimate(joined: pd.Series) -> pd.Series:
             return -1.0
 
     return joined.map(one)
+
+
+# ---- HLL sketches as they are
+
+
+def hll_estimate(sketch: Column) -> Column:
+    """The estimate of each row's HLL sketch as a double (the built-in function rounds it)."""
+
+    @F.pandas_udf("double")
+    def run(s: pd.Series) -> pd.Series:
+        return s.map(lambda v: None if v is None else E.estimate(v)).astype(float)
+
+    return run(sketch)
+
+
+def hll_bounds(sketch: Column, deviations: int = 2) -> Column:
+    """A struct of estimate, lower and upper bound of each row's HLL sketch."""
+
+    @F.pandas_udf("struct<estimate:double,lower:double,upper:double>")
+    def run(s: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([(E.estimate(v), *E.bounds(v, deviations)) for v in s], columns=["estimate", "lower", "upper"], dtype=float)
+
+    return run(sketch)
+
+
+@F.pandas_udf(T.StringType())
+def hll_summary(sketch: pd.Series) -> pd.Series:
+    """Each row's HLL sketch in words."""
+    return sketch.map(lambda v: None if v is None else E.summary(v))
+
+
+@F.pandas_udf(T.StringType())
+def hll_mode(sketch: pd.Series) -> pd.Series:
+    """LIST, SET or HLL."""
+    return sketch.map(lambda v: None if v is None else ("LIST", "SET", "HLL")[R.preamble(v)["mode"]])
+
+
+@F.pandas_udf(T.StringType())
+def container(state: pd.Series) -> pd.Series:
+    """The container that a combined state's first byte names."""
+    return state.map(lambda v: None if v is None else R.container(v))
+
+
+def empty_sketch(lg_k: int) -> bytes:
+    """An HLL sketch of nothing (list mode, 8-bit target)."""
+    return bytes([2, 1, 7, lg_k, 3, 4, 0, 8])
+
+
+def approx_distinct(df: DataFrame, keys: Sequence[str], sketch: str, lg_k: int = 12) -> DataFrame:
+    """(keys, sketch, estimate): sketches united at 2**lg_k buckets, whatever theirs are (finer ones are folded, coarser ones win)."""
+    none = F.lit(empty_sketch(lg_k))
+    united = df.groupBy(*keys).agg(F.hll_union_agg(F.col(sketch), F.lit(True)).alias(sketch)).withColumn(sketch, F.hll_union(F.col(sketch), none, True))
+    return united.select(*keys, sketch, hll_estimate(F.col(sketch)).alias("estimate"))
+
+
+def theta_estimate(sketch: Column) -> Column:
+    """Retained entries over theta, as a double."""
+
+    @F.pandas_udf("double")
+    def run(s: pd.Series) -> pd.Series:
+        return s.map(lambda v: None if v is None else E.theta_estimate(v)).astype(float)
+
+    return run(sketch)

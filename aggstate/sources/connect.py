@@ -1,4 +1,4 @@
-"""Sources and sinks: JSON lines, TSV, row-binary files, embedded queries, and a table function for queries of another session."""
+"""Sources and sinks: JSON lines, TSV, idempotent day partitions, and embedded queries."""
 
 from __future__ import annotations
 
@@ -16,9 +16,10 @@ def json_rows(spark: SparkSession, path: str, schema: str | T.StructType, glob:
 
 
 def json_arrays(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
-    """JSON arrays, one a line, the first line a header; all values as strings."""
-    lines = spark.read.text(path).filter("trim(value) != ''")
-    rows = lines.select(F.from_json("value", "array<string>").alias("a")).filter(F.col("a") != F.array(*[F.lit(n) for n in names]))
+    """JSON arrays, one a line, each file's first line a header; all values as strings."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("place")).filter("trim(value) != ''")
+    first = lines.filter("at = 0").groupBy("file").agg(F.min("place").alias("place"))
+    rows = lines.join(first, ["file", "place"], "left_anti").select(F.from_json("value", "array<string>").alias("a"))
     return rows.select(*[F.get("a", F.lit(i)).alias(n) for i, n in enumerate(names)])
 
 
@@ -28,10 +29,14 @@ def tsv_rows(spark: SparkSession, path: str, schema: str) -> DataFrame:
     parts = spark.read.text(path).select(F.split("value", "\t").alias("p"))
 
     def field(i: int) -> Column:
-        raw = F.col("p")[i]
-        for mark, plain in (("\\\\", "\x00"), ("\\t", "\t"), ("\\n", "\n"), ("\\r", "\r"), ("\x00", "\\")):
-            raw = F.replace(raw, F.lit(mark), F.lit(plain))
-        return F.when(F.col("p")[i] != "\\N", raw)
+        # escapes are read from left to right: pieces between doubled backslashes hold none of them
+        pieces = F.transform(F.split(F.col("p")[i], r"\\\\"), plain)
+        return F.when(F.col("p")[i] != "\\N", F.array_join(pieces, "\\"))
+
+    def plain(piece: Column) -> Column:
+        for mark, value in (("\\t", "\t"), ("\\n", "\n"), ("\\r", "\r"), ("\\0", "\x00")):
+            piece = F.replace(piece, F.lit(mark), F.lit(value))
+        return piece
 
     return parts.select(*[field(i).cast(f.dataType).alias(f.name) for i, f in enumerate(fields)])
 
@@ -46,14 +51,17 @@ def write_days(df: DataFrame, path: str, day: str = "day") -> None:
 
 
 def extract_query(line: str) -> str:
-    """The SQL of a request line: bare, a JSON string, a JSON object with ``query``, or the first field of a TSV line."""
+    """The SQL of a request line: bare, a JSON string, a JSON object with ``query`` or one value, or the first field of a TSV line (unescaped)."""
     text = line.strip("\r\n")
     try:
         value = json.loads(text)
     except ValueError:
-        return text.split("\t")[0].strip()
+        field = text.split("\t")[0]
+        for mark, plain in (("\\\\", "\0"), ("\\t", "\t"), ("\\n", "\n"), ("\\r", "\r"), ("\\'", "'"), ("\0", "\\")):
+            field = field.replace(mark, plain)
+        return field.strip()
     if isinstance(value, dict):
-        return str(value.get("query", "")).strip()
+        return str(value["query"] if "query" in value else next(iter(value.values()), "")).strip()
     return value.strip() if isinstance(value, str) else text.strip()
 
 
