@@ -5,9 +5,12 @@ neighbourhood, the colour cache, and inverts the predictor, cross-colour, subtra
 picture holds nothing but literals of one code, the code lengths at all bit places are looked up at once in numpy, and
 only the walk from code to code is a Python step; other pictures are read symbol by symbol.
 
-A payload is laid out as an RGB picture of 64 columns, 192 bytes a row, with one fixed complete prefix code for all
-three channels (stored in each picture, as the format wants).  A payload of more rows than a picture can have becomes
-several pictures, one after the other.
+A payload is laid out as an RGB picture of 64 columns, 192 bytes a row.  A payload of more rows than a picture can have
+becomes several pictures, one after the other.  Most pictures hold literals of one fixed complete prefix code for all three
+channels (stored in each, as the format wants).  A picture whose pixels repeat themselves in runs, a fifth of them or more,
+gets prefix codes of its own, back-references, and a colour cache where that makes it smaller; one of at most 16 colours
+gets a palette, several pixels to a byte; the plain form is kept if it is shorter.  The writer uses no predictor, cross-colour or subtract-green
+transform: text has no neighbouring values that resemble each other.
 
 Null and empty texts are one row of spaces.  Repeated rows are stored each, with equal values.  Only the named columns
 are read.  Bytes that are no lossless WebP raise ValueError; a null picture gives null.
@@ -27,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrays_batch, table
+from .common import arrays_batch, portions, table
 
 COLUMNS, ROW, MOST_ROWS = 64, 192, 16384
 # The order in which lengths of the code-length code are stored.
@@ -47,7 +50,7 @@ class Bits:
     """Bits of bytes, lowest first."""
 
     def __init__(self, data: bytes, at: int = 0) -> None:
-        self.data, self.at = data + b"\0" * 8, at
+        self.data, self.at = data + b"\0" * 16, at
         self.end = len(data) * 8
 
     def peek(self) -> int:
@@ -172,20 +175,36 @@ def _pixels(bits: Bits, width: int, height: int, cache: int, groups: list, entro
             held[(0x1E35A7BD * v & 0xFFFFFFFF) >> (32 - cache)] = v
         stored = len(out)
 
+    data, at, end, start = bits.data, bits.at, bits.end, int.from_bytes
+    tables = [[(c.table, (1 << c.width) - 1) for c in g[:4]] for g in groups]
+    (gt, gm), (rt, rm), (bt, bm), (at_, am) = tables[0]
     group = groups[0]
-    while len(out) < total:
-        if bits.at > bits.end:
+    n = 0
+    while n < total:
+        if at > end:
             raise ValueError("the picture ends too early")
-        n = len(out)
         if entropy is not None:
-            group = groups[entropy[n // width >> shift, n % width >> shift]]
-        green = group[0].read(bits)
+            k = entropy[n // width >> shift, n % width >> shift]
+            group = groups[k]
+            (gt, gm), (rt, rm), (bt, bm), (at_, am) = tables[k]
+        i = at >> 3
+        window = start(data[i : i + 9], "little") >> (at & 7)  # four codes have 60 bits at most
+        entry = gt[window & gm]
+        used, green = entry & 15, entry >> 4
         if green < LITERALS:
-            red, blue, alpha = group[1].read(bits), group[2].read(bits), group[3].read(bits)
-            out.append(alpha << 24 | red << 16 | green << 8 | blue)
+            red = rt[window >> used & rm]
+            used += red & 15
+            blue = bt[window >> used & bm]
+            used += blue & 15
+            alpha = at_[window >> used & am]
+            at += used + (alpha & 15)
+            out.append((alpha >> 4) << 24 | (red >> 4) << 16 | green << 8 | blue >> 4)
+            n += 1
         elif green < LITERALS + LENGTHS:
+            bits.at = at + used
             length = _extra(bits, green - LITERALS)
             code = _extra(bits, group[4].read(bits))
+            at = bits.at
             if code > 120:
                 back = code - 120
             else:
@@ -193,12 +212,19 @@ def _pixels(bits: Bits, width: int, height: int, cache: int, groups: list, entro
                 back = max(1, x + y * width)
             if back > n or n + length > total:
                 raise ValueError("a back-reference outside the picture")
-            for k in range(length):
-                out.append(out[n - back + k])
+            if back >= length:
+                out += out[n - back : n - back + length]
+            else:
+                piece = out[n - back :]
+                out += (piece * (length // back + 1))[:length]
+            n += length
         else:
             remember()
             out.append(held[green - LITERALS - LENGTHS])
-    if bits.at > bits.end:
+            at += used
+            n += 1
+    bits.at = at
+    if at > end:
         raise ValueError("the picture ends too early")
     return np.array(out, np.uint32)
 
@@ -406,6 +432,15 @@ def huffman(weights: Sequence[float]) -> list[int]:
     return lengths
 
 
+def limited(counts: Sequence[float], most: int) -> list[int]:
+    """Code lengths of at most ``most`` bits: rare symbols count more until they fit."""
+    counts = [float(c) for c in counts]
+    while max(lengths := huffman(counts), default=0) > most:
+        least = max(counts) / (1 << most)
+        counts = [max(c * 0.5 + 0.5, least) if c else 0.0 for c in counts]
+    return lengths
+
+
 class Writer:
     """Bits to be written, lowest first."""
 
@@ -443,7 +478,7 @@ class Writer:
                 tokens.append((n, 0, 0))
             at += run
         counts = Counter(t[0] for t in tokens)
-        own = huffman([counts.get(s, 0) ** 0.8 for s in range(19)])
+        own = limited([counts.get(s, 0) ** 0.8 for s in range(19)], 7)
         if sum(map(bool, own)) < 2:  # one kind of token: give it a partner
             own[0 if not own[0] else 1] = own[max(range(19), key=own.__getitem__)] = 1
         if max(own) > 7:
@@ -501,16 +536,158 @@ def pad(text: bytes) -> bytes:
     return text + b" " * (-len(text) % ROW if text else ROW)
 
 
+# ---- pictures with codes of their own
+
+#: Pixels that a run takes part in, its shortest length, and the share of a picture that runs must cover.
+WINDOW, LEAST_RUN, LEAST_COVER = 4, 6, 0.2
+LEAST_PIXELS, PALETTE_COLOURS, DEEPEST = 512, 16, 12
+_ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)]
+
+
+def repeats(pixels: np.ndarray) -> list[tuple[int, int, int]]:
+    """(start, length, distance): runs of pixels that stand before as well, each at the nearest distance, none overlapping."""
+    n = len(pixels) - WINDOW + 1
+    if n < 2:
+        return []
+    h = np.zeros(n, np.uint64)
+    for k in range(WINDOW):
+        h = (h ^ pixels[k : k + n]) * _ODD[k]
+        h ^= h >> np.uint64(29)
+    order = np.argsort(h, kind="stable")
+    same = h[order[1:]] == h[order[:-1]]
+    back = np.zeros(n, np.int64)
+    back[order[1:][same]] = (order[1:] - order[:-1])[same]
+    starts = np.append(0, np.flatnonzero(np.diff(back)) + 1)
+    ends = np.append(starts[1:], n)
+    out, at = [], 0
+    for k in np.flatnonzero(back[starts] > 0).tolist():
+        start, distance = max(int(starts[k]), at), int(back[starts[k]])
+        end = int(ends[k]) + WINDOW - 1
+        # equal hashes could be a coincidence: only equal pixels count
+        differ = np.flatnonzero(pixels[start:end] != pixels[start - distance : end - distance])
+        length = (int(differ[0]) if len(differ) else end - start) if end > start else 0
+        if length >= LEAST_RUN and distance <= (1 << 20) - 120:
+            out += [(start + lo, min(4096, length - lo), distance) for lo in range(0, length, 4096)]
+            at = start + length
+    return out
+
+
+def _prefixed(value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Symbol, extra bits and their number of lengths or distance codes (1 or more)."""
+    rest = np.asarray(value, np.int64) - 1
+    high = np.frexp(np.maximum(rest, 1))[1] - 1
+    extra = np.maximum(high - 1, 0)
+    symbol = np.where(rest < 4, rest, 2 * high + ((rest >> extra) & 1))
+    few = rest < 4
+    return symbol, np.where(few, 0, rest & ((1 << extra) - 1)), np.where(few, 0, extra)
+
+
+def _hits(pixels: np.ndarray, cache: int) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each pixel stands in the colour cache when its turn comes, and its place there."""
+    slot = ((pixels.astype(np.uint64) * np.uint64(0x1E35A7BD)) & np.uint64(0xFFFFFFFF)) >> np.uint64(32 - cache)
+    order = np.argsort(slot, kind="stable")
+    hit = np.zeros(len(pixels), bool)
+    hit[order[1:]] = (slot[order[1:]] == slot[order[:-1]]) & (pixels[order[1:]] == pixels[order[:-1]])
+    return hit, slot.astype(np.int64)
+
+
+def _coded(pixels: np.ndarray, width: int, runs: list[tuple[int, int, int]], cache: int, *, main: bool) -> tuple[Writer, np.ndarray]:
+    """The codes of an image (as a writer's bits) and the bits of its pixels."""
+    start, length, distance = (np.array([r[k] for r in runs], np.int64) for k in range(3))
+    alone = np.ones(len(pixels), bool)
+    alone[np.arange(int(length.sum())) + np.repeat(start - np.cumsum(length) + length, length)] = False
+    literal = np.flatnonzero(alone)
+    hit = np.zeros(len(literal), bool)
+    if cache:
+        every, slot = _hits(pixels, cache)
+        hit = every[literal]
+    size, extra, extra_bits = _prefixed(length)
+    near = {max(1, x + y * width): k + 1 for k, (x, y) in reversed(list(enumerate(neighbourhood())))}
+    place, far, far_bits = _prefixed(np.array([near.get(d, d + 120) for d in distance.tolist()], np.int64))
+    argb = [(pixels[literal] >> np.uint32(s) & np.uint32(255)).astype(np.int64) for s in (24, 16, 8, 0)]
+    green = argb[2].copy()
+    if cache:
+        green[hit] = LITERALS + LENGTHS + slot[literal[hit]]
+    counts = [np.bincount(np.append(green, LITERALS + size), minlength=LITERALS + LENGTHS + ((1 << cache) if cache else 0))]
+    counts += [np.bincount(argb[k][~hit], minlength=LITERALS) for k in (1, 3, 0)]
+    counts.append(np.bincount(place, minlength=DISTANCES))
+    w, words = Writer(), []
+    w.put(cache > 0, 1)
+    if cache:
+        w.put(cache, 4)
+    if main:
+        w.put(0, 1)
+    for own in counts:
+        lengths = limited(own.tolist(), DEEPEST)
+        w.code(lengths)
+        code = Code(lengths)
+        table = np.zeros((len(own), 2), np.int64)
+        if code.only is None:
+            table[list(code.words)] = list(code.words.values())
+        words.append(table)
+    # each token has four fields: value and number of bits
+    fields = np.zeros((len(literal) + len(runs), 4, 2), np.int64)
+    order = np.argsort(np.append(literal, start), kind="stable")
+    tokens = np.zeros_like(fields)
+    tokens[: len(literal), 0] = words[0][green]
+    for k, channel in ((1, 1), (2, 3), (3, 0)):
+        tokens[: len(literal), k][~hit] = words[k][argb[channel][~hit]]
+    tokens[len(literal) :, 0] = words[0][LITERALS + size]
+    tokens[len(literal) :, 1] = np.stack([extra, extra_bits], 1)
+    tokens[len(literal) :, 2] = words[4][place]
+    tokens[len(literal) :, 3] = np.stack([far, far_bits], 1)
+    fields = tokens[order].reshape(-1, 2)
+    value, bits = fields[fields[:, 1] > 0].T
+    ends = np.cumsum(bits)
+    which = np.repeat(np.arange(len(bits)), bits)
+    body = (value[which] >> (np.arange(len(which)) - np.repeat(ends - bits, bits))) & 1
+    return w, body.astype(np.uint8)
+
+
+def _own_codes(pixels: np.ndarray, height: int) -> bytes | None:
+    """A picture with codes of its own, if runs or few colours make that worth while."""
+    if len(pixels) < LEAST_PIXELS:
+        return None
+    forms = []
+    colours = np.unique(pixels) if len(np.unique(pixels[:256])) <= PALETTE_COLOURS else np.zeros(PALETTE_COLOURS + 1)
+    if len(colours) <= PALETTE_COLOURS:
+        pack = 3 if len(colours) <= 2 else 2 if len(colours) <= 4 else 1
+        index = np.searchsorted(colours, pixels).reshape(height, -1, 1 << pack)
+        bundled = (index << (np.arange(1 << pack) * (8 >> pack))).sum(2).astype(np.uint32).ravel()
+        parts = np.stack([np.diff(colours >> np.uint32(s) & np.uint32(255), prepend=np.uint32(0)) & np.uint32(255) for s in (24, 16, 8, 0)])
+        deltas = parts[0] << np.uint32(24) | parts[1] << np.uint32(16) | parts[2] << np.uint32(8) | parts[3]
+        head, body = _coded(deltas, len(colours), [], 0, main=False)
+        forms.append(([1, 1, 1, *[len(colours) - 1 >> k & 1 for k in range(8)], *head.bits, *body.tolist(), 0], np.uint32(0xFF000000) | bundled << np.uint32(8), COLUMNS >> pack, (0,)))
+    runs = repeats(pixels)
+    if sum(r[1] for r in runs) >= LEAST_COVER * len(pixels):
+        forms.append(([0], pixels, COLUMNS, (0, min(10, len(pixels).bit_length() - 3))))
+    best = None
+    for before, image, width, caches in forms:
+        found = runs if image is pixels else repeats(image)
+        for cache in caches:
+            head, body = _coded(image, width, found, cache, main=True)
+            if best is None or len(before) + len(head.bits) + len(body) < sum(map(len, best)):
+                best = before + head.bits, body
+    if best is None:
+        return None
+    w = Writer()
+    w.bits = best[0]
+    return w.picture(COLUMNS, height, best[1])
+
+
 def store(payload: bytes) -> bytes:
     """Pictures of a payload whose length is a multiple of ROW."""
     head, bits, used = _payload_code()
     out = []
     for lo in range(0, len(payload), ROW * MOST_ROWS):
         rgb = np.frombuffer(payload, np.uint8)[lo : lo + ROW * MOST_ROWS].reshape(-1, 3)
+        wide = rgb.astype(np.uint32)
+        own = _own_codes(np.uint32(0xFF000000) | wide[:, 0] << np.uint32(16) | wide[:, 1] << np.uint32(8) | wide[:, 2], len(rgb) // COLUMNS)
         flow = rgb[:, [1, 0, 2]].ravel()
         w = Writer()
         w.bits = head
-        out.append(w.picture(COLUMNS, len(rgb) // COLUMNS, bits[flow][used[flow]]))
+        plain = w.picture(COLUMNS, len(rgb) // COLUMNS, bits[flow][used[flow]])
+        out.append(plain if own is None or len(own) >= len(plain) else own)
     return b"".join(out)
 
 
@@ -525,21 +702,33 @@ def pictures(media: bytes) -> list[bytes]:
 
 
 def decode_column(df: DataFrame, column: str, *, keep: Sequence[str] = ()) -> DataFrame:
-    """The columns in keep, and width, height and pixels (RGBA bytes, row by row) of the pictures in a binary column."""
+    """The columns in keep, and width, height and pixels (RGBA bytes, row by row) of the pictures in a binary column.
+
+    A column in keep that is named like one of these is left out.
+    """
+    keep = [k for k in keep if k not in ("width", "height", "pixels")]
+    chosen = df.select(F.col(column), *keep).toDF("__picture", *[f"__k{i}" for i in range(len(keep))])
 
     def run(batches):
-        for batch in batches:
+        for batch in (p for b in batches for p in portions(b, "__picture")):
             arrays = [None if p is None else decode(p) for p in batch.column("__picture").to_pylist()]
             size = lambda k: pa.array([None if a is None else a.shape[k] for a in arrays], pa.int32())
-            yield arrays_batch({c: batch.column(c) for c in keep} | {"width": size(1), "height": size(0), "pixels": pa.array([None if a is None else a.tobytes() for a in arrays], pa.binary())})
+            kept = {n: batch.column(n) for n in batch.schema.names if n != "__picture"}
+            yield arrays_batch(kept | {"width": size(1), "height": size(0), "pixels": pa.array([None if a is None else a.tobytes() for a in arrays], pa.binary())})
 
-    chosen = df.select(*keep, F.col(column).alias("__picture"))
-    schema = [f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema if f.name != "__picture"]
-    return chosen.mapInArrow(run, ", ".join([*schema, "width int", "height int", "pixels binary"]))
+    schema = [f"{f.name} {f.dataType.simpleString()}" for f in chosen.schema if f.name != "__picture"]
+    return chosen.mapInArrow(run, ", ".join([*schema, "width int, height int, pixels binary"])).toDF(*keep, "width", "height", "pixels")
 
 
 def store_column(df: DataFrame, column: str, *, keep: Sequence[str] = ()) -> DataFrame:
-    """The columns in keep, and for a text column what was stored and read back: sizes, digests, features and the media."""
+    """The columns in keep, and for a text column what was stored and read back: sizes, digests, features and the media.
+
+    A column in keep that is named like one of these is left out.
+    """
+    names = ("n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "media")
+    kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.binary())
+    keep = [k for k in keep if k not in names]
+    chosen = df.select(F.col(column), *keep).toDF("__text", *[f"__k{i}" for i in range(len(keep))])
 
     def row(text: bytes | None) -> tuple:
         text = text or b""
@@ -548,23 +737,18 @@ def store_column(df: DataFrame, column: str, *, keep: Sequence[str] = ()) -> Dat
         back = b"".join(a[..., :3].tobytes() for a in arrays)
         rgb = np.frombuffer(back, np.uint8).reshape(-1, 3)
         sums = rgb.sum(0, dtype=np.int64).tolist()
-        kinds = int(np.count_nonzero(np.bincount(rgb.ravel(), minlength=256)))
-        feature = f"{COLUMNS}x{len(rgb) // COLUMNS};pictures={len(arrays)};sums={sums[0]},{sums[1]},{sums[2]};values={kinds}"
+        values = int(np.count_nonzero(np.bincount(rgb.ravel(), minlength=256)))
+        feature = f"{COLUMNS}x{len(rgb) // COLUMNS};pictures={len(arrays)};sums={sums[0]},{sums[1]},{sums[2]};values={values}"
         return len(text), len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-16:]), len(media), hashlib.sha256(media).hexdigest(), feature, media
 
-    names = ("n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "media")
-    kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.binary())
-
     def run(batches):
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 512):
-                part = batch.slice(lo, 512)
-                rows = list(zip(*map(row, part.column("__text").cast(pa.binary()).to_pylist()), strict=True))
-                yield arrays_batch({c: part.column(c) for c in keep} | {n: pa.array(v, k) for n, k, v in zip(names, kinds, rows, strict=True)})
-
-    chosen = df.select(*keep, F.col(column).alias("__text"))
-    schema = [f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema if f.name != "__text"]
-    return chosen.mapInArrow(run, ", ".join([*schema, "n_bytes bigint, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, feature string, media binary"]))
+        for batch in (p for b in batches for p in portions(b, "__text")):
+            rows = list(zip(*map(row, batch.column("__text").cast(pa.binary()).to_pylist()), strict=True))
+            yield arrays_batch({n: batch.column(n) for n in batch.schema.names if n != "__text"} | {n: pa.array(v, k) for n, k, v in zip(names, kinds, rows, strict=True)})
+
+    schema = [f"{f.name} {f.dataType.simpleString()}" for f in chosen.schema if f.name != "__text"]
+    made = "n_bytes bigint, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, feature string, media binary"
+    return chosen.mapInArrow(run, ", ".join([*schema, made])).toDF(*keep, *names)
 
 
 def op6_webp_media(spark: SparkSession, sf_dir: str) -> DataFrame:

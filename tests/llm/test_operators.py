@@ -1,4 +1,5 @@
 import collections
+import hashlib
 import itertools
 import math
 import re
@@ -9,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from aggstate.llm import decontaminate, html_extract, kneser_ney, language_id, licenses, mixing, simhash, token_binary, url_filter, webp
+from aggstate.llm import common, decontaminate, html_extract, kneser_ney, language_id, licenses, mixing, simhash, token_binary, url_filter, webp
 
 SF = "/root/testdata/sf0.001"
 LONG = "alpha beta gamma delta epsilon zeta eta theta " * 3000
@@ -55,6 +56,41 @@ def test_language_id_brute_force(spark):
     assert len(language_id.grams(["Abc, d!"])[0]) == 15
 
 
+def test_language_predictions_by_brute_force(spark):
+    """The query's languages and scores from plain dictionaries of hashed n-grams, text by text."""
+    rows = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang").collect()
+    learn = [r for r in rows if zlib.crc32(str(r.doc_id).encode()) % 5 and r.text is not None and r.lang is not None]
+    names = sorted({r.lang for r in learn})
+    counts = {n: collections.Counter() for n in names}
+    buckets = lambda t: language_id.grams([t])[0].tolist()
+    for r in learn:
+        counts[r.lang].update(buckets(r.text))
+    total = {n: sum(c.values()) + 0.5 * language_id.BUCKETS for n, c in counts.items()}
+    prior = {n: math.log(sum(r.lang == n for r in learn) / len(learn)) for n in names}
+    got = {r.doc_id: r for r in language_id.op1_language_id(spark, SF).collect()}
+    assert len(got) == len(rows)
+    for r in rows:
+        own = collections.Counter(buckets(r.text or ""))
+        score = {n: prior[n] + sum(k * math.log((counts[n][b] + 0.5) / total[n]) for b, k in own.items()) for n in names}
+        best = max(names, key=score.get)
+        assert got[r.doc_id].held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
+        assert got[r.doc_id].lang_pred == (best if any(c.isalpha() for c in r.text or "") else "und")
+        if own and got[r.doc_id].lang_pred != "und":
+            assert math.isclose(got[r.doc_id].score, 1 / sum(math.exp(v - score[best]) for v in score.values()), rel_tol=1e-3)
+
+
+def test_language_stage(spark, odd):
+    """Texts without a letter and texts of no learned language go; extra columns of any name come along."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang", "source")
+    foreign = [(10**6, "Это предложение написано на русском языке, которого здесь нет", None, "x"), (10**6 + 1, "qxz wvk jjq pzzx qqkv xjw zzq wqx vvkq zzxj qqwk", None, "x"), (10**6 + 2, "12 34", "en", "x"), (10**6 + 3, None, None, None)]
+    more = docs.unionByName(spark.createDataFrame(foreign, docs.schema)).select("*", F.lit(1).alias("score"), F.lit("z").alias("lang_pred"), F.lit(2).alias("__c1"))
+    kept = language_id.stage(spark, more, SF)
+    assert kept.columns == more.columns
+    rows = kept.collect()
+    assert {r.doc_id for r in rows} == {r.doc_id for r in docs.collect()} and {(r.score, r.lang_pred, r["__c1"]) for r in rows} == {(1, "z", 2)}
+    assert language_id.stage(spark, odd, SF).columns == odd.columns and language_id.stage(spark, odd.limit(0), SF).count() == 0
+
+
 def test_mixing_agrees_with_sql(spark, odd):
     import duckdb
 
@@ -67,6 +103,31 @@ def test_mixing_agrees_with_sql(spark, odd):
     assert mixing.stage(spark, odd.limit(0), SF).count() == 0
 
 
+def test_mixing_keeps_columns_and_counts_ties(spark, odd):
+    clash = odd.select("*", *[F.lit(1999).alias(n) for n in ("epoch", "epochs", "rest", "cut_h", "cut_before", "n_take", "__n", "__id", "__h", "__take", "__rest", "__domain")])
+    got = mixing.stage(spark, clash, SF)
+    assert got.columns == clash.columns and {r["epoch"] for r in got.collect()} <= {1999}
+    same = spark.createDataFrame([(7, "a b c d", "en", "src1")] * 9, "doc_id bigint, text string, lang string, source string")
+    rows = mixing.keyed(same, id_col="doc_id", text_col="text", domain=F.lit("web"), lang_col="lang", source_col="source")
+    leaves = mixing.plan(rows, weights=({}, {}, {}), max_epochs=1, budget=22, part=(1, 1), seed=1)
+    assert sorted(r["__take"] for r in mixing.select(rows, leaves, 1).collect()) == [2, 4, 4, 4, 4, 4]
+
+
+@pytest.mark.parametrize("broadcast", [50_000, 0])
+def test_mixing_without_broadcast(spark, broadcast, monkeypatch):
+    import duckdb
+
+    monkeypatch.setattr(mixing, "BROADCAST_LEAVES", broadcast)
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet' UNION ALL SELECT * FROM '{SF}/documents.parquet' WHERE doc_id % 3 = 0")
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = mixing.keyed(docs.unionByName(docs.filter("doc_id % 3 = 0")), id_col="doc_id", text_col="text", domain=mixing.domain_of(F.col("source")), lang_col="lang", source_col="source")
+    leaves = mixing.plan(rows, weights=mixing.WEIGHTS, max_epochs=mixing.MAX_EPOCHS, budget=None, part=mixing.PART, seed=mixing.SEED)
+    got = mixing.select(rows, leaves, mixing.SEED).selectExpr("doc_id", "__epoch", "__n", "__take").toPandas()
+    want = con.sql(mixing.ORACLE["op2_source_mixing"]).df()[["doc_id", "epoch", "n_tokens", "n_take"]]
+    assert sorted(got.itertuples(index=False, name=None)) == sorted(want.itertuples(index=False, name=None))
+
+
 def test_shortage_goes_to_siblings_first(spark):
     leaves = spark.createDataFrame([("a", "en", "x", 1, 10), ("a", "en", "y", 1, 1000), ("b", "en", "z", 1, 1000)], "__domain string, __lang string, __source string, rows bigint, tokens bigint")
     got = mixing.leaf_shares(leaves, weights=({}, {}, {}), max_epochs=1, budget=400, part=(1, 1))
@@ -130,6 +191,31 @@ def test_simhash_links_by_brute_force(spark, crowd):
     assert {n: got.get(n, n) for n in want} == want
 
 
+def test_simhash_query_by_all_pairs(spark, docs):
+    """Every row of the query against fingerprints and links computed pair by pair."""
+    import xxhash
+
+    def fingerprint(text):
+        words = re.findall(rb"[^\x20\x09-\x0D]+", re.sub(rb"[A-Z]", lambda m: m[0].lower(), (text or "").encode()))
+        h = [xxhash.xxh64_intdigest(b" ".join(words[i : i + 3]), 42) for i in range(max(1, len(words) - 2))] if words else []
+        return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+    prints = {i: fingerprint(t) for i, t in docs}
+    want = connected(prints, [(a, b) for a, b in itertools.combinations(prints, 2) if (prints[a] ^ prints[b]).bit_count() <= 2])
+    got = {r.doc_id: (int(r.fingerprint, 16), r.component_id) for r in simhash.op4_simhash_dedup(spark, SF).collect()}
+    assert got == {i: (p, want[i]) for i, p in prints.items()} and len(set(want.values())) < len(want)
+
+
+def test_simhash_links_of_one_bit(spark):
+    rng = np.random.default_rng(4)
+    prints = sorted({int(c) ^ sum(1 << int(b) for b in rng.choice(63, rng.integers(0, 4), replace=False)) for c in rng.integers(0, 1 << 62, 8) for _ in range(20)})
+    rows = spark.createDataFrame(list(enumerate(prints)), "node bigint, fp bigint")
+    for crowd in (48, 0):
+        got = dict(map(tuple, simhash.components(simhash.links(rows, radius=1, crowd=crowd)).collect()))
+        want = connected(range(len(prints)), [(i, j) for i, j in itertools.combinations(range(len(prints)), 2) if (prints[i] ^ prints[j]).bit_count() <= 1])
+        assert {n: got.get(n, n) for n in want} == want
+
+
 def test_fingerprints(spark, odd):
     import xxhash
 
@@ -319,6 +405,148 @@ def test_webp_transforms():
             assert got[1, 1, 1] == want[0, 1, 1] + rest[1, 1, 1]
 
 
+def inside(a):
+    return 0 if a < 0 else 255 if a > 255 else a
+
+
+def guess(mode, left, top, corner, right):
+    """A channel's prediction by the format's description (modes 11 to 13 elsewhere or below)."""
+    mean = lambda a, b: (a + b) // 2
+    return {1: left, 2: top, 3: right, 4: corner, 5: mean(mean(left, right), top), 6: mean(left, corner), 7: mean(left, top), 8: mean(corner, top), 9: mean(top, right), 10: mean(mean(left, corner), mean(top, right)), 12: inside(left + top - corner)}.get(mode)
+
+
+def predicted(argb, x, y, mode):
+    if not x and not y:
+        return [255, 0, 0, 0]
+    if not y:
+        return argb[y][x - 1]
+    if not x:
+        return argb[y - 1][x]
+    left, top, corner = argb[y][x - 1], argb[y - 1][x], argb[y - 1][x - 1]
+    right = argb[y - 1][x + 1] if x + 1 < len(argb[0]) else argb[y][0]
+    if mode in (0, 14, 15):
+        return [255, 0, 0, 0]
+    if mode == 11:
+        estimate = [a + b - c for a, b, c in zip(left, top, corner)]
+        near_left = sum(abs(e - a) for e, a in zip(estimate, left))
+        return left if near_left < sum(abs(e - b) for e, b in zip(estimate, top)) else top
+    if mode == 13:
+        return [inside(m + (m - c) // 2 if m >= c else m - (c - m) // 2) for m, c in ((((a + b) // 2), c) for a, b, c in zip(left, top, corner))]
+    return [guess(mode, *z) for z in zip(left, top, corner, right)]
+
+
+def coded(w, argb, main):
+    """Writes an image with codes of its own."""
+    flat = np.array([a << 24 | r << 16 | g << 8 | b for row in argb for a, r, g, b in row], np.uint32)
+    head, body = webp._coded(flat, len(argb[0]), [], 0, main=main)
+    w.bits = w.bits + head.bits + body.tolist()
+
+
+def some_picture(rng, width, height):
+    base = np.add.outer(np.arange(height) * 5, np.arange(width) * 3)[..., None] + rng.integers(0, 40, (height, width, 4))
+    return (base % 256).tolist()
+
+
+def test_webp_predictor_modes_pixel_by_pixel():
+    rng = np.random.default_rng(11)
+    want = some_picture(rng, 13, 40)
+    modes = [[(3 * by + bx) % 16 for bx in range(4)] for by in range(10)]  # blocks of 4 x 4
+    rest = [[[(v - p) % 256 for v, p in zip(want[y][x], predicted(want, x, y, modes[y // 4][x // 4]))] for x in range(13)] for y in range(40)]
+    w = webp.Writer()
+    w.put(1, 1), w.put(0, 2), w.put(0, 3)
+    coded(w, [[[255, 0, m, 0] for m in row] for row in modes], False)
+    w.put(0, 1)
+    coded(w, rest, True)
+    got = webp.decode(w.picture(13, 40))
+    assert {m for row in modes for m in row} == set(range(16))
+    assert got.tolist() == [[[r, g, b, a] for a, r, g, b in row] for row in want]
+
+
+def test_webp_cross_colour_pixel_by_pixel():
+    rng = np.random.default_rng(12)
+    want = some_picture(rng, 10, 9)
+    elements = rng.integers(0, 256, (3, 3, 3)).tolist()  # red to blue, green to blue, green to red, by blocks of 4 x 4
+    signed = lambda v: v - 256 if v > 127 else v
+    rest = []
+    for y in range(9):
+        rest.append([])
+        for x in range(10):
+            a, r, g, b = want[y][x]
+            red_blue, green_blue, green_red = map(signed, elements[y // 4][x // 4])
+            rest[-1].append([a, (r - (green_red * signed(g) >> 5)) % 256, g, (b - (green_blue * signed(g) >> 5) - (red_blue * signed(r) >> 5)) % 256])
+    w = webp.Writer()
+    w.put(1, 1), w.put(1, 2), w.put(0, 3)
+    coded(w, [[[255, *e] for e in row] for row in elements], False)
+    w.put(0, 1)
+    coded(w, rest, True)
+    assert webp.decode(w.picture(10, 9)).tolist() == [[[r, g, b, a] for a, r, g, b in row] for row in want]
+
+
+def test_webp_groups_of_codes():
+    """Blocks whose pixels are written with different groups of prefix codes."""
+    rng = np.random.default_rng(13)
+    want = rng.integers(0, 6, (8, 12, 3))
+    group_of = [[0, 1, 2], [2, 0, 1]]  # blocks of 4 x 4
+    w = webp.Writer()
+    w.put(0, 1), w.put(0, 1)  # no transform, no cache
+    w.put(1, 1), w.put(0, 3)
+    coded(w, [[[255, 0, g, 0] for g in row] for row in group_of], False)
+    codes = []
+    for g in range(3):
+        own = []
+        for k, size in enumerate((280, 256, 256, 256, 40)):
+            lengths = webp.huffman([float(1 + (s * (g + 2) + k) % 5) if s < 6 and k < 3 else float(s == 255) if k == 3 else float(s == 0 and k == 4) for s in range(size)])
+            w.code(lengths)
+            own.append(webp.Code(lengths))
+        codes.append(own)
+    for y in range(8):
+        for x in range(12):
+            r, g, b = want[y, x].tolist()
+            for code, v in zip(codes[group_of[y // 4][x // 4]], (g, r, b)):
+                w.put(*code.words[v])
+    got = webp.decode(w.picture(12, 8))
+    assert got[..., :3].tolist() == want.tolist() and (got[..., 3] == 255).all()
+
+
+def test_webp_stores_what_helps():
+    """Runs become back-references with a cache, few colours a palette; each is smaller and comes back."""
+    rng = np.random.default_rng(14)
+    line = bytes(rng.integers(97, 123, 300, dtype=np.uint8))
+    texts = {"runs": line * 30, "palette": bytes(rng.choice(list(b"abcdefghi"), 9).tolist()) * 2 + b"xyz" * 3000, "two": b"abcdef" * 1000, "mixed": b"".join(bytes(rng.integers(97, 123, 90, dtype=np.uint8)) + line for _ in range(40)), "plain": bytes(rng.integers(97, 123, 6000, dtype=np.uint8))}
+    bits = webp._payload_code()[0][:64]
+    for name, text in texts.items():
+        payload = webp.pad(text)
+        files = webp.pictures(webp.store(payload))
+        assert b"".join(webp.decode(p)[..., :3].tobytes() for p in files) == payload
+        own = np.unpackbits(np.frombuffer(files[0][25:], np.uint8), bitorder="little")[:64].tolist() != bits
+        assert own == (name != "plain"), name
+        if own:
+            assert len(files[0]) < 0.5 * len(text)
+    assert webp.repeats(np.arange(50, dtype=np.uint32)) == [] and webp.repeats(np.zeros(0, np.uint32)) == []
+    pixels = rng.integers(0, 5, 3000).astype(np.uint32)
+    for start, length, distance in webp.repeats(pixels):
+        assert (pixels[start : start + length] == pixels[start - distance : start - distance + length]).all()
+    lengths = webp.limited([1.0, *[2.0**k for k in range(40)]], 12)
+    assert max(lengths) <= 12 and sum(2.0**-n for n in lengths) == 1
+
+
+def test_webp_query_by_its_contract(spark, docs, odd):
+    got = {r.doc_id: r for r in webp.op6_webp_media(spark, SF).collect()}
+    for i, text in docs:
+        data = (text or "").encode()
+        payload = data + b" " * (-len(data) % 192 if data else 192)
+        r = got[i]
+        assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(data), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]))
+        sums = [sum(payload[k::3]) for k in range(3)]
+        assert r.feature.split(";")[2:] == [f"sums={sums[0]},{sums[1]},{sums[2]}", f"values={len(set(payload))}"] and r.feature.startswith(f"64x{len(payload) // 192}")
+    clash = odd.select("doc_id", "text", F.lit(1).alias("media"), F.lit(2).alias("feature"))
+    stored = webp.store_column(clash, "text", keep=("doc_id", "media", "feature"))
+    assert stored.columns.count("media") == 1 and stored.count() == len(ODD)
+    back = webp.decode_column(stored, "media", keep=("doc_id", "n_bytes")).filter("doc_id = 4").first()
+    assert bytes(back.pixels)[0::4][:3] == b"O o" and back.width == 64
+    assert webp.store_column(odd.limit(0), "text").count() == 0
+
+
 def test_html_main_text():
     model = html_extract.default_model()
     page = """<html><head><title>t</title><style>p{}</style></head><body><nav class="menu"><ul><li><a href=/>Home</a></li></ul></nav>
@@ -342,6 +570,46 @@ def test_html_main_text():
     assert wrong < 0.02 * total
 
 
+HAND_MADE = [
+    ("<body><header><h1>Daily</h1><nav><a href=/>Home</a> <a href=/a>News</a></nav></header><main><article><h2>Rain</h2><p>It rained <em>all</em> day in the north, and the rivers rose.</p><p>Roads stay closed &mdash; see below.</p></article></main><aside class=related><h3>More</h3><ul><li><a href=/1>One</a></ul></aside><footer>(c) Daily</footer>", "Rain\n\nIt rained all day in the north, and the rivers rose.\n\nRoads stay closed \u2014 see below."),
+    ("<div id=page><div class='top-menu'><ul><li><a href=a>A</a><li><a href=b>B</a></ul></div><div class='post'><h1>Bread</h1><p>Mix flour &amp; water.<p>Wait an hour.<ul><li>200 g flour<li>100 g water</ul><blockquote>Good bread takes time.</blockquote></div><div class='comments'><div class='comment'><p>Nice!</p></div></div><div class='cookie-banner'>We use cookies <button>OK</button></div></div>", "Bread\n\nMix flour & water.\n\nWait an hour.\n\n200 g flour\n\n100 g water\n\nGood bread takes time."),
+    ("<article><p>Energy <math><mi>E</mi></math> is <object>fallback text</object> fine <img src=x alt=y> here, <my-word>as is</my-word> <canvas>drawn</canvas><noscript> plain</noscript>.</p><form><p>Mail <input></p></form><p>The second paragraph stands alone.</p></article>", "Energy E is fallback text fine here, as is drawn plain.\n\nThe second paragraph stands alone."),
+]
+
+
+@pytest.mark.parametrize("case", range(len(HAND_MADE)))
+def test_html_of_hand_made_pages(case):
+    page, text = HAND_MADE[case]
+    assert html_extract.extract(page, html_extract.default_model()) == text
+
+
+def test_html_in_spark(spark):
+    """Odd pages, repeated rows, an empty table, columns that clash; time linear in unbalanced pages."""
+    import time
+
+    rows = [(1, None), (2, ""), (3, "<"), (4, HAND_MADE[0][0]), (4, HAND_MADE[0][0]), (None, "plain words"), (6, "<p>" * 50000)]
+    df = spark.createDataFrame(rows, "page_id int, html string").select("*", F.lit("u").alias("text"), F.lit("v").alias("url"), F.lit(1).alias("__html"))
+    got = html_extract.main_text(df, keep=("page_id", "text", "url", "__html"))
+    assert got.columns == ["page_id", "url", "__html", "text", "n_chars"]
+    found = [(r.page_id, r.text, r.n_chars) for r in got.collect()]
+    assert found.count((4, HAND_MADE[0][1], len(HAND_MADE[0][1]))) == 2 and {(1, "", 0), (2, "", 0)} <= set(found) and len(found) == 7
+    assert html_extract.main_text(df.limit(0)).count() == 0
+    took = []
+    for n in (8000, 32000):
+        begin = time.perf_counter()
+        for page in ("<div>" * n + "</foo>" * n, "<b><div>" + "<i>" * n + "</b>" * n, "<p><button>" + "<i>" * n + "<p>" * n):
+            html_extract.parse(page)
+        took.append(time.perf_counter() - begin)
+    assert took[1] < 10 * took[0] + 0.2
+
+
+def test_html_query(spark):
+    pages = spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "url", "html").collect()
+    got = {r.page_id: (r.url, r.text, r.n_chars) for r in html_extract.op7_html_extraction(spark, SF).collect()}
+    model = html_extract.default_model()
+    assert got == {p.page_id: (p.url, t := html_extract.extract(p.html, model), len(t)) for p in pages}
+
+
 def test_marginals_by_enumeration():
     model = html_extract.default_model()
     nodes, _ = html_extract.parse('<div class="x"><p>a</p><nav>b</nav></div>')
@@ -466,6 +734,32 @@ def test_url_filter(spark):
     assert sorted((r.page_id, r.rule, r.verdict) for r in got.na.fill("-").collect()) == [(1, "-", "allow"), (2, "-", "allow"), (3, "example.com/en/", "block"), (4, "www.example.com/en/", "allow"), (5, "-", "block"), (5, "-", "block"), (6, "-", "allow")]
 
 
+def test_url_filter_shuffled_and_odd(spark, monkeypatch):
+    """A filter and a list too large to broadcast give the same rows; columns of the result's names and an empty table."""
+    urls = [(i, f"https://www.host{i % 7}.org/p{i % 5}/" if i % 4 else None) for i in range(200)]
+    df = spark.createDataFrame(urls, "page_id int, url string").select("*", F.lit(1).alias("host"), F.lit(2).alias("__block"), F.lit(3).alias("w0"))
+    listed = spark.createDataFrame([(f"host{i}.org/p3",) for i in range(3)], "canonical string")
+    find = lambda: sorted(map(str, url_filter.judge(df, listed, keep=("page_id", "host", "__block", "w0")).collect()))
+    one = find()
+    monkeypatch.setattr(url_filter, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(url_filter, "BROADCAST_BYTES", 0)
+    assert find() == one and sum("listed=True" in r for r in one) == sum(u is not None and f"host{k}.org/p3" in u for _, u in urls for k in range(3))
+    assert url_filter.judge(df.limit(0), listed).count() == 0 and url_filter.judge(df, listed.limit(0)).filter("listed").count() == 0
+
+
+def test_license_texts_of_one_family(spark):
+    """A text with a third clause isn't the two-clause licence, nor one whose disclaimer is missing."""
+    fill = lambda t: re.sub(r"<<var;\d+-\d+>>", "the authors", re.sub(r"<<(begin|end)Optional>>", "", t))
+    texts = {name: f"Copyright 2020 X\n{fill(t).upper()}\nend of file" for name, t in licenses.TEMPLATES.items()}
+    texts["cut"] = texts["bsd-2-clause"][:700]
+    df = spark.createDataFrame(list(texts.items()), "doc_id string, text string")
+    got = {r.id: set(r.labels.split(",")) for r in licenses.scan(df).collect()}
+    texts_of = ("mit-text", "isc-text", "bsd-2-clause", "bsd-3-clause")
+    assert all(got[n] & set(texts_of) == {n} for n in texts_of) and got["cut"] == {""}
+    assert all(n in got[n] for n in licenses.TEMPLATES)
+    assert licenses.scan(df.limit(0)).count() == 0
+
+
 def test_license_templates(spark, odd):
     a = licenses.Automaton("x y <<beginOptional>>z <<beginOptional>>q<<endOptional>><<endOptional>> <<var;0-2>> end")
     h = lambda s: licenses.hash_text(s, licenses.NOT_ALPHANUMERIC)
@@ -488,6 +782,66 @@ def test_license_base_by_brute_force(spark, docs):
         assert got[i].base_labels == ",".join(sorted({x for _, x in places}))
 
 
+def test_words_of_long_texts_in_pieces(monkeypatch):
+    """Rows far longer than a chunk give the words, rows and places that one reading gives."""
+    rng = np.random.default_rng(3)
+    texts = [" ".join("w" * int(n) for n in rng.integers(1, 9, 4000)), "", "x" * 9000, " ", "a b", "y" * 3000 + " z"]
+    data = "".join(texts).encode()
+    offsets = np.append(0, np.cumsum([len(t) for t in texts]))
+    args = np.frombuffer(data, np.uint8), offsets, *common.byte_class(common.SPACES)
+    want = common._words_of(*args)
+    monkeypatch.setattr(common, "CHUNK", 512)
+    got = common.words_of(*args)
+    assert all((a == b).all() and len(a) == len(b) for a, b in zip(got, want))
+
+
+def test_pipeline_by_brute_force(spark, odd, monkeypatch):
+    """The kept documents stage by stage: near-duplicates and benchmark passages pair by pair, the mixture by SQL."""
+    import duckdb
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    kept = {r.doc_id: r for r in language_id.stage(spark, docs, SF).collect()}
+    assert set(kept) == {r.doc_id for r in docs.collect() if any(c.isalpha() for c in r.text or "")}
+    texts = [(i, " ".join((r.text or "").split())) for i, r in kept.items()]
+    group, near = near_by_brute_force(texts)
+    for a, b in itertools.combinations(texts, 2):  # texts without shingles in common that are equal all the same
+        if a[1].lower() == b[1].lower():
+            near.append((a[0], b[0]))
+    group = connected(group, near)
+    first = {i: r for i, r in kept.items() if group[i] == i}
+    after = simhash.stage(spark, spark.createDataFrame(list(kept.values()), docs.schema), SF)
+    assert sorted(r.doc_id for r in after.collect()) == sorted(first)
+    items = [(r.item_id, re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", r.text.lower())) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    df = collections.Counter(x for _, w in items for x in {tuple(w[k : k + 5]) for k in range(len(w) - 4)})
+    weight = lambda x: 1 + math.log(len(items) / df.get(x, 1))
+    dirty = set()
+    for i, r in first.items():
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", r.text.lower())
+        own = [tuple(words[k : k + 5]) for k in range(len(words) - 4)]
+        for _, w in items:
+            bag = collections.Counter(tuple(w[k : k + 5]) for k in range(len(w) - 4))
+            if not bag.keys() & set(own):
+                continue
+            span = min(sum(bag.values()), len(own))
+            if any(weighted_similarity(bag, collections.Counter(own[k : k + span]), weight) >= 0.8 - 1e-9 for k in range(len(own) - span + 1)):
+                dirty.add(i)
+    clean = spark.createDataFrame([r for i, r in first.items()], docs.schema)
+    left = decontaminate.stage(spark, clean, SF)
+    rows = left.collect()
+    assert sorted(r.doc_id for r in rows) == sorted(set(first) - dirty) and dirty
+    con = duckdb.connect()
+    con.register("left_docs", left.toPandas())
+    want = con.sql(mixing.oracle("left_docs", (9, 10))).df()["doc_id"].tolist()
+    mixed = [r.doc_id for r in mixing.stage(spark, spark.createDataFrame(rows, docs.schema), SF).collect()]
+    assert sorted(mixed) == sorted(want)
+    final = corpus_pipeline.run(spark, SF).collect()
+    assert sorted(r.doc_id for r in final) == sorted(want)
+    monkeypatch.setattr(corpus_pipeline, "table", lambda *a: odd)
+    assert {r.doc_id for r in corpus_pipeline.run(spark, SF).collect()} <= {d for d, *_ in ODD}
+    monkeypatch.setattr(corpus_pipeline, "table", lambda *a: odd.limit(0))
+    assert corpus_pipeline.run(spark, SF).count() == 0
+
+
 def test_pipeline(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     assert [name for name, _ in corpus_pipeline.STAGES] == ["language_id", "near_dedup", "decontamination", "source_mixing", "token_binary"]
