@@ -45,11 +45,22 @@ from .common import arrays_batch, blocks, shared_folder, string_buffer, table
 
 END = 2
 SHARD_TOKENS = 1_000_000
-CACHE = 400_000
+CACHE = 600_000
 RULES_A_ROUND, LEAST_COUNT, LEAST_TAKEN = 4096, 8, 4
 NO_ID = -(1 << 63)
 _LETTERS = "a-zß-öø-ÿ"
-_ODD = re.compile("[^\t\n\r -~À-ÖØ-öø-ÿ]")
+
+
+def _byte_letters() -> dict[int, str]:
+    """How a byte-level model writes the letters beyond ASCII that are read by the short cut: a character for each UTF-8 byte."""
+    kept = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    of_byte = dict(zip(kept, map(chr, kept), strict=True)) | {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in kept)}
+    return {c: "".join(of_byte[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)}
+
+
+#: Bytes of plain texts: tab, line ends, printable ASCII, and the lead and continuation bytes of U+00C0 to U+00FF.
+_PLAIN = np.zeros(256, bool)
+_PLAIN[[9, 10, 13, *range(0x20, 0x7F), *range(0x80, 0xC0), 0xC3]] = True
 
 
 class Sequences:
@@ -115,8 +126,24 @@ class Encoder:
         self.ids = Sequences()
         self.ids.add([END], [1])
 
-    def plain(self, text: str) -> bool:
-        return self.pieces is not None and not _ODD.search(text) and not any(s in text for s in self.special)
+    def odd_rows(self, column: pa.Array) -> np.ndarray:
+        """Which rows hold more than plain Latin letters, ASCII and white space, or a special token."""
+        data, offsets = string_buffer(column)
+        if self.pieces is None:
+            return np.diff(offsets) > 0
+        raw = data[offsets[0] : offsets[-1]]
+        odd = np.zeros(len(column), bool)
+        sign = raw[:-1] == 0xC3
+        sign &= (raw[1:] == 0x97) | (raw[1:] == 0xB7)  # U+00D7 and U+00F7 are no letters
+        row_of = lambda at: np.searchsorted(offsets, at + offsets[0], "right") - 1
+        odd[row_of(np.flatnonzero(~_PLAIN[raw]))] = True
+        odd[row_of(np.flatnonzero(sign))] = True
+        for token in self.special:
+            head = np.frombuffer(token.encode()[:2], np.uint8)
+            maybe = np.flatnonzero((raw[:-1] == head[0]) & (raw[1:] == head[-1])) if len(head) == 2 else np.flatnonzero(raw == head[0])
+            for i in np.unique(row_of(maybe)).tolist():
+                odd[i] = odd[i] or token in column[i].as_py()
+        return odd
 
     def _remember(self, pieces: list[str], ids, sizes) -> None:
         self.number.update(zip(pieces, range(len(self.ids), len(self.ids) + len(pieces)), strict=True))
@@ -130,9 +157,9 @@ class Encoder:
         flow = list(itertools.chain.from_iterable(own))
         new = list({p for p in flow if p not in self.number}.union(new))
         if self.bytes:  # a byte-level model reads ASCII letters as they are
-            words = [p for p in new if p.isascii() and p.isalpha()]
-            tokenize = self.library.model.tokenize
-            found = [[t.id for t in tokenize(p)] for p in words]
+            words = [p for p in new if p.isalpha()]
+            tokenize, letters = self.library.model.tokenize, _byte_letters()
+            found = [[t.id for t in tokenize(p if p.isascii() else p.translate(letters))] for p in words]
             self._remember(words, list(itertools.chain.from_iterable(found)), list(map(len, found)))
             new = [p for p in new if p not in self.number]
         for lo in range(0, len(new), 4096):
@@ -148,10 +175,12 @@ class Encoder:
         edges = np.append(0, np.cumsum(sizes))[np.append(0, np.cumsum(np.fromiter(map(len, own), np.int64, len(own))))]
         self._remember(mixed, ids, np.diff(edges))
 
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+    def encode(self, column: pa.Array | list[str | None]) -> list[np.ndarray]:
         """Numbers in self.ids for each text, 0 (the end) last."""
-        odd = np.fromiter((bool(t) and not self.plain(t) for t in texts), bool, len(texts))
-        column = pa.array(["" if o else t or "" for t, o in zip(texts, odd.tolist(), strict=True)], pa.large_string())
+        texts = column = pa.array(column, pa.large_string()) if isinstance(column, list) else column.cast(pa.large_string())
+        odd = self.odd_rows(column)
+        if odd.any() or column.null_count:
+            column = pc.if_else(pa.array(odd), pa.scalar("", pa.large_string()), column.fill_null(""))
         split = pc.ascii_split_whitespace(pc.utf8_lower(column))  # Arrow tells distinct words apart, Python sees each once
         coded = split.flatten().dictionary_encode()
         names = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
@@ -167,7 +196,7 @@ class Encoder:
         out = np.zeros(int(ends[-1]) if len(ends) else 0, np.int64)
         out[np.arange(len(flow)) + (np.arange(len(texts)) + np.cumsum(odd))[row]] = flow
         for i in np.flatnonzero(odd).tolist():
-            whole = self.library.encode(texts[i], add_special_tokens=False).ids
+            whole = self.library.encode(texts[i].as_py(), add_special_tokens=False).ids
             out[ends[i] - 2] = len(self.ids)
             self.ids.add(whole, [len(whole)])
         return np.split(out, ends[:-1])
@@ -376,7 +405,7 @@ def write(df: DataFrame, folder: str, *, tokenizer: str, id_col: str = "doc_id",
             for batch in batches:
                 names, column = batch.column("id").to_pylist(), batch.column("text")
                 for lo, hi in blocks(string_buffer(column)[1], 3 * shard_tokens):  # an id is about three bytes of text
-                    own = coder.encode(column.slice(lo, hi - lo).to_pylist())
+                    own = coder.encode(column.slice(lo, hi - lo))
                     ids += names[lo:hi]
                     texts += own
                     held += int(coder.ids.sizes(np.concatenate(own)).sum())

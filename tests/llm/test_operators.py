@@ -149,6 +149,22 @@ def test_token_shards_round_trip(spark, docs, odd):
     assert token_binary.encoded(spark, odd.limit(0)).count() == 0
 
 
+def test_encoder_against_the_library():
+    """Plain and odd texts, every Latin letter, digits, signs and special tokens, in one batch and apart."""
+    from tokenizers import Tokenizer
+
+    library, coder = Tokenizer.from_file(token_binary.tokenizer_file()), token_binary.Encoder(token_binary.tokenizer_file())
+    letters = "".join(map(chr, range(0xC0, 0x100)))
+    texts = [letters, " ".join(letters), "×÷", "naïve Čeština", "it's 12,3 <|endoftext|> x", "a<|b", "<|startoftext|>", None, "", "   \n", "Ünïcödé ßtraße's DON'T", "12345 !!??", "e\u0301", "tab\tand\u00a0space", "word " * 50 + letters * 3]
+    texts += ["".join(map(chr, np.random.default_rng(i).choice([*range(0x20, 0x7F), *range(0xC0, 0x100), 10, 9], 60))) for i in range(200)]
+    for some in (texts, texts[3:9]):
+        got = coder.encode(some)
+        for t, numbers in zip(some, got):
+            assert np.concatenate([coder.ids[k] for k in numbers.tolist()]).tolist() == [*library.encode(t or "", add_special_tokens=False).ids, 2], t
+    column = __import__("pyarrow").array(texts).slice(4, 30)
+    assert [len(x) for x in coder.encode(column)] == [len(x) for x in coder.encode(texts[4:34])]
+
+
 def test_grammar_random_access():
     coder = token_binary.encoder(token_binary.tokenizer_file())
     texts = ["the cat sat on the mat. " * 200, "", "the cat ran", "a a a a a a " * 100]
