@@ -35,6 +35,7 @@ import re
 import zlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
@@ -45,7 +46,7 @@ from .common import arrays_batch, blocks, shared_folder, string_buffer, table
 
 END = 2
 SHARD_TOKENS = 1_000_000
-CACHE = 600_000
+CACHE = 1_200_000
 RULES_A_ROUND, LEAST_COUNT, LEAST_TAKEN = 4096, 8, 4
 NO_ID = -(1 << 63)
 _LETTERS = "a-zß-öø-ÿ"
@@ -238,7 +239,7 @@ class _Phase:
         bucket = ((both.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).view(np.int64)
         often = np.bincount(bucket, weights=worth, minlength=1 << 20)[bucket] >= least  # no pair of a rarer bucket is frequent enough
         at, both, worth = at[often], both[often], None if worth is None else worth[often]
-        pairs, which = np.unique(both, return_inverse=True)
+        which, pairs = pd.factorize(both)
         counts = np.bincount(which, weights=worth, minlength=len(pairs))
         frequent = np.flatnonzero(counts >= least)
         if not len(frequent):
