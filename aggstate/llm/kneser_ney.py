@@ -38,7 +38,7 @@ END, BEGIN = U64(0x5851F42D4C957F2D), U64(0x14057B7EF767814F)
 #: Shards that the bigrams of one context are spread over at least.
 SPREAD = 8
 #: Bytes of input (as stored) for each shard.
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 2 << 20
 #: Tasks that the shards are dealt to at most; a task takes one after the other.
 MOST_TASKS = 1 << 15
 #: Arrays that a worker keeps mapped at a time.
@@ -201,7 +201,7 @@ def train(df: DataFrame, *, text_col: str = "text", shards: int | None = None) -
     of_words = {r["few"]: r["k"] for r in known.groupBy(F.least("contexts", F.lit(5)).alias("few")).agg(F.count("*").alias("k")).collect()}
     d1 = discounts(of_words)
     spared = sum(k * d1[min(few, 3)] for few, k in of_words.items())
-    ranges = max(1, shards // 4)
+    ranges = shards
     top = F.pmod(F.shiftrightunsigned("word", 40), F.lit(ranges)).cast("int")
 
     def save(key, group):
@@ -211,7 +211,7 @@ def train(df: DataFrame, *, text_col: str = "text", shards: int | None = None) -
         _save(folder, f"words-{key[0].as_py()}", keys=names[order], sums=values)
         return pa.table({"range": pa.array([key[0].as_py()], pa.int32()), "rows": pa.array([len(order)], pa.int64())})
 
-    words.withColumn("range", top).groupBy("range").applyInArrow(save, "range int, rows bigint").agg(F.sum("rows")).collect()
+    words.withColumn("range", top).repartition(min(ranges, MOST_TASKS), "range").groupBy("range").applyInArrow(save, "range int, rows bigint").agg(F.sum("rows")).collect()
     return {"folder": folder, "shards": shards, "ranges": ranges, "v": head["v"], "tokens": head["tokens"] or 0, "types": head["types"] or 0, "d1": d1, "d2": discounts(of_pairs), "spared": float(spared)}
 
 
