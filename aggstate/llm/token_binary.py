@@ -381,8 +381,8 @@ class Shard:
         return self.expansions.of(self.symbols[a:b])[lo - before : hi - before]
 
 
-def write(df: DataFrame, folder: str, *, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", shard_tokens: int = SHARD_TOKENS) -> None:
-    """Writes df's texts as shards below folder."""
+def write(df: DataFrame, folder: str, *, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", shard_tokens: int = SHARD_TOKENS, cache: int = CACHE) -> None:
+    """Writes df's texts as shards below folder; cache: remembered words a worker keeps."""
     rows = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).withColumn("tie", F.xxhash64("text"))
     rows = rows.repartitionByRange("id", "tie").sortWithinPartitions("id", "tie").select("id", "text")
 
@@ -397,7 +397,7 @@ def write(df: DataFrame, folder: str, *, tokenizer: str, id_col: str = "doc_id",
             payload, tokens = pack(ids, coder.ids, texts, coder.vocabulary)
             row = arrays_batch({"part": pa.array([part], pa.int32()), "seq": pa.array([seq], pa.int32()), "n_docs": pa.array([len(ids)], pa.int64()), "n_tokens": pa.array([tokens], pa.int64()), "payload": pa.array([payload], pa.binary())})
             seq, ids, texts, held = seq + 1, [], [], 0
-            if len(coder.ids) > CACHE:
+            if len(coder.ids) > cache:
                 coder.fresh()
             return row
 
@@ -450,9 +450,9 @@ def tokenizer_file() -> str:
     return str(public_tokenizers.path("word_bpe_49k.json"))
 
 
-def encoded(spark: SparkSession, docs: DataFrame) -> DataFrame:
+def encoded(spark: SparkSession, docs: DataFrame, **sizes: int) -> DataFrame:
     folder = shared_folder(spark, "token-shards")
-    write(docs, folder, tokenizer=tokenizer_file())
+    write(docs, folder, tokenizer=tokenizer_file(), **sizes)
     return read(spark, folder).select(F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
 
 
@@ -461,7 +461,9 @@ def op3_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return encoded(spark, docs)
+    """As the query, with half as large shards and fewer remembered words: a worker's memory holds what earlier stages left as well.
+    Null and empty texts are the end id alone; repeated rows are encoded each."""
+    return encoded(spark, docs, shard_tokens=SHARD_TOKENS // 2, cache=CACHE // 8)
 
 
 QUERIES = {"op3_token_binary": op3_token_binary}
