@@ -407,3 +407,37 @@ def test_sources(spark, tmp_path):
         assert connect.extract_query(line) == "SELECT 1"
     assert connect.run_query(spark, "SELECT :v AS v", v=3).first().v == 3
     assert math.isclose(R.estimate(np.zeros(4096, int)), 0.0)
+
+
+@pytest.fixture(scope="session")
+def many(tmp_path_factory):
+    """Tables whose groups have more keys than the queries' theta sketches have entries, and their queries' rows by SQL."""
+    import duckdb
+
+    folder, con = tmp_path_factory.mktemp("many"), duckdb.connect()
+    tables = {
+        "events": "SELECT i AS event_id, TIMESTAMP '2024-01-01' + to_seconds(i // 400) AS ts, i % 40000 AS user_id, CASE WHEN i % 10 = 0 THEN 'view' ELSE 'click' END AS event_type, CAST(i % 97 AS DOUBLE) AS value, '{\"k\": ' || (i % 5) || '}' AS props FROM range(120000) t(i)",
+    }
+    for name, sql in tables.items():
+        con.sql(f"COPY ({sql}) TO '{folder}/{name}.parquet' (FORMAT parquet)")
+        con.sql(f"CREATE VIEW {name} AS SELECT * FROM '{folder}/{name}.parquet'")
+    return str(folder), con
+
+
+def _as_sql(spark, many, name):
+    import __spark_entry__ as entry
+
+    folder, con = many
+    rows = lambda df: sorted(map(str, df[sorted(df.columns)].astype(object).where(df.notna(), None).itertuples(index=False, name=None)))
+    return rows(entry.queries()[name](spark, folder).toPandas()) == rows(con.sql(entry.oracle_sql()[name]).df())
+
+
+def test_rollup_day_users_beyond_a_sketch(spark, many):
+    assert _as_sql(spark, many, "rollup_day_users")
+
+
+def test_overflowed_parts_fail(spark):
+    rows = spark.range(20000).groupBy().agg(F.theta_sketch_agg("id", F.lit(12)).alias("u"))
+    with pytest.raises(Exception, match="overflowed"):
+        rows.select(S.theta_count("u", 12)).collect()
+    assert S.theta_parts(spark.range(1000), "id", 12) == 1
