@@ -137,3 +137,10 @@ def scratch(spark: SparkSession, name: str) -> str:
             raise ValueError("a cluster must name its shared folder in spark.checkpoint.dir")
         folder = "file://" + tempfile.mkdtemp(prefix="aggstate-")
     return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def kept(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """df written and read again: what holds random sketches, or bytes that the order of rows decides, must be computed once if it is read twice."""
+    place = scratch(spark, "kept")
+    df.write.parquet(place)
+    return spark.read.schema(df.schema).parquet(place)

@@ -417,7 +417,7 @@ def many(tmp_path_factory):
     folder, con = tmp_path_factory.mktemp("many"), duckdb.connect()
     tables = {
         "events": "SELECT i AS event_id, TIMESTAMP '2024-01-01' + to_seconds(i // 400) AS ts, i % 40000 AS user_id, CASE WHEN i % 10 = 0 THEN 'view' ELSE 'click' END AS event_type, CAST(i % 97 AS DOUBLE) AS value, '{\"k\": ' || (i % 5) || '}' AS props FROM range(120000) t(i)",
-        "lineitem": "SELECT i % 2600000 AS l_partkey, CASE WHEN i % 3 = 0 THEN 'R' ELSE 'N' END AS l_returnflag, CAST(i % 50 AS DOUBLE) AS l_quantity, CASE WHEN i % 100 = 0 THEN 'O' ELSE 'F' END AS l_linestatus FROM range(4000000) t(i)",
+        "lineitem": "SELECT CAST(hash(i) % 1000003 AS DOUBLE) AS l_extendedprice, i % 2600000 AS l_partkey, CASE WHEN i % 3 = 0 THEN 'R' ELSE 'N' END AS l_returnflag, CAST(i % 50 AS DOUBLE) AS l_quantity, CASE WHEN i % 100 = 0 THEN 'O' ELSE 'F' END AS l_linestatus FROM range(4000000) t(i)",
         "customer": "SELECT i AS c_custkey FROM range(800000) t(i)",
     }
     for name, sql in tables.items():
@@ -467,3 +467,10 @@ def test_theta_types_beyond_a_sketch(spark, many):
 
 def test_incremental_view_beyond_a_sketch(spark, many):
     assert _as_sql(spark, many, "incremental_view")
+
+
+def test_replayed_band_builds_its_sketches_once(spark, many):
+    import __spark_entry__ as entry
+
+    assert _as_sql(spark, many, "replayed_band")
+    assert "kll_sketch_agg" not in entry.queries()["replayed_band"](spark, many[0])._jdf.queryExecution().toString()
