@@ -167,14 +167,29 @@ def digest_quantile(state: Column, level: float) -> Column:
     return run(state)
 
 
-def replay_sketches(df: DataFrame, keys: Sequence[str], sketch: str, most: int = SAMPLES) -> DataFrame:
-    """(keys, value, weight): each row's sketch (KLL of doubles or classic) as at most ``most`` weighted samples; empty and null ones give none."""
+def dealt(df: DataFrame, keys: Sequence[str], most: int) -> DataFrame:
+    """df with a part for each row: a group of keys has as many parts as make them half of most rows on average, or one part.
+
+    Sketches of most entries by keys and part lose no value; ``replay_sketches`` with whole fails if chance overfills a part."""
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).select(*[F.col(k).alias(f"__{k}") for k in keys], "__n")
+    same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
+    rows = df.withColumn("__row", F.xxhash64(F.monotonically_increasing_id())).join(sizes, same)
+    return rows.select(*df.columns, F.pmod("__row", F.floor(F.col("__n") * 2 / most) + 1).alias("part"))
+
+
+def replay_sketches(df: DataFrame, keys: Sequence[str], sketch: str, most: int = SAMPLES, *, whole: bool = False) -> DataFrame:
+    """(keys, value, weight): each row's sketch (KLL of doubles or classic) as at most ``most`` weighted samples; empty and null ones give none.
+
+    whole: fails where a sketch has dropped values or holds more than most."""
     names = [f"k{i}" for i in range(len(keys))]
     chosen = df.filter(F.col(sketch).isNotNull()).select(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)], F.col(sketch).alias("s"))
 
     def run(batches):
         for batch in batches:
-            found = [Q.replay(Q.sample(s), most) for s in batch.column("s").to_pylist()]
+            samples = [Q.sample(s) for s in batch.column("s").to_pylist()]
+            found = [Q.replay(s, most) for s in samples]
+            if whole and any((weights > 1).any() for _, weights in samples + found):
+                raise ValueError("a sketch doesn't hold all of its values")
             rows = pa.array(np.repeat(np.arange(len(found)), [len(v) for v, _ in found]))
             value, weight = (np.concatenate([np.zeros(0, t), *[f[i] for f in found]]) for i, t in ((0, float), (1, np.int64)))
             yield pa.RecordBatch.from_arrays([*[batch.column(n).take(rows) for n in names], pa.array(value), pa.array(weight)], names=[*names, "value", "weight"])

@@ -481,3 +481,10 @@ def test_identity_carry_builds_its_sketches_once(spark, many):
 
     assert _as_sql(spark, many, "identity_carry")
     assert "hll_sketch_agg" not in entry.queries()["identity_carry"](spark, many[0])._jdf.queryExecution().toString()
+
+
+def test_replayed_sketches_beyond_a_sketch(spark, many):
+    assert _as_sql(spark, many, "replayed_sketches") and _as_sql(spark, many, "replayed_median")
+    rows = spark.range(1000).groupBy().agg(F.kll_sketch_agg_double(F.col("id").cast("double"), F.lit(200)).alias("s"))
+    with pytest.raises(Exception, match="all of its values"):
+        Q.replay_sketches(rows, [], "s", whole=True).collect()
