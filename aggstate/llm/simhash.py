@@ -12,8 +12,9 @@ is linear.  Every one of them names the 65 fingerprints within one bit of itself
 at most two bits, and any two that differ in at most two bits name a common one, so linking them to the smallest of the
 at most 65 that name it loses no link of the group.
 
-``near_duplicates`` finds texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more, exactly, by
-prefixes: shingles have one order for all texts, frequent ones last, and two texts that are similar enough share one of
+``near_duplicates`` finds texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.  Its first
+candidates are texts whose fingerprints differ in at most two bits, by the same index.  Such fingerprints alone would miss
+similar texts, so an exact search follows for what they leave apart, by prefixes: shingles have one order for all texts, frequent ones last, and two texts that are similar enough share one of
 the first ``n - ceil(0.8 n) + 1`` shingles of either.  The members of every key are first held against its smallest one.
 Where that leaves members of a key unconnected, all pairs among them are looked at, in blocks of ``SLICE`` members against
 the others, and no pair is handed out that places, numbers and parity bitmaps of the shingles rule out; so nothing is lost
@@ -243,22 +244,32 @@ def folded(bitmaps: np.ndarray, size: int) -> np.ndarray:
 
 
 def _signatures(rows: DataFrame, size: int, least: float) -> DataFrame:
-    """(id, text_a, text_b: the word sequence's hashes, n: shingles, bits: their parities, firsts: their prefix, rare: how many of it aren't frequent)."""
+    """(id, text_a, text_b: the word sequence's hashes, fp: the fingerprint, n: shingles, bits: their parities, firsts: their prefix, rare: how many of it aren't frequent)."""
     shared = rows.sparkSession.sparkContext.broadcast(_frequent(rows, size))
 
     def run(batches):
         for batch in (p for b in batches for p in portions(b, "text")):
-            columns = [[] for _ in range(6)]
+            columns = [[] for _ in range(7)]
             for text in batch.column("text").cast(pa.binary()).to_pylist():
                 joined = b" ".join((text or b"").lower().split())
-                h = np.unique(shingle_hashes(text or b"", size))
+                every = shingle_hashes(text or b"", size)
+                h = np.unique(every)
                 firsts, rare = prefix(h, least, *shared.value)
-                for c, v in zip(columns, (xxhash.xxh64_intdigest(joined, 1) - (1 << 63), xxhash.xxh64_intdigest(joined, 2) - (1 << 63), len(h), parities(h), firsts.view(np.int64), rare), strict=True):
+                for c, v in zip(columns, (xxhash.xxh64_intdigest(joined, 1) - (1 << 63), xxhash.xxh64_intdigest(joined, 2) - (1 << 63), fingerprint(every), len(h), parities(h), firsts.view(np.int64), rare), strict=True):
                     c.append(v)
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.int32())
-            yield arrays_batch({"id": batch.column("id")} | {k: pa.array(v, t) for k, v, t in zip(("text_a", "text_b", "n", "bits", "firsts", "rare"), columns, kinds, strict=True)})
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.int32())
+            yield arrays_batch({"id": batch.column("id")} | {k: pa.array(v, t) for k, v, t in zip(("text_a", "text_b", "fp", "n", "bits", "firsts", "rare"), columns, kinds, strict=True)})
 
-    return rows.mapInArrow(run, "id bigint, text_a bigint, text_b bigint, n bigint, bits binary, firsts array<bigint>, rare int")
+    return rows.mapInArrow(run, "id bigint, text_a bigint, text_b bigint, fp bigint, n bigint, bits binary, firsts array<bigint>, rare int")
+
+
+def alike(nodes: DataFrame, *, radius: int = 2) -> DataFrame:
+    """(a, b), a < b: pairs of texts (node, fp) that connect all whose fingerprints differ in at most radius bits: each text with the
+    smallest of its fingerprint, and these by the index."""
+    own = cut(nodes.groupBy("fp").agg(F.min("node").alias("node"), F.count("*").alias("n")))
+    shared = few(cut(own.filter("n > 1").select("fp", F.col("node").alias("a"))))
+    same = nodes.join(shared, "fp").filter("node > a").select("a", F.col("node").alias("b"))
+    return same.unionByName(links(own.select("node", "fp"), radius=radius))
 
 
 def _most_apart(na, nb, least: float):
@@ -398,6 +409,11 @@ def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
         heads = texts.toDF("a", "text_of_a").join(few(cut(pairs.select("a").distinct())), "a")
         return cut(_similar(later.join(heads, "a"), size, least).distinct())
 
+    def apart_by(pairs: DataFrame, found: DataFrame) -> DataFrame:
+        """The pairs whose ends the components don't connect."""
+        part = lambda x: found.toDF(x, f"part_{x}")
+        return pairs.join(part("a"), "a", "left").join(part("b"), "b", "left").filter("coalesce(part_a, a) != coalesce(part_b, b)").select("a", "b")
+
     def linked(pairs: DataFrame, known: DataFrame | None) -> tuple[DataFrame, DataFrame]:
         """All links among pairs that connect anything, with the known ones, and the components: each node's pair with the
         smallest other first, then those whose ends are still apart."""
@@ -411,16 +427,17 @@ def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
         near = verified(first, texts)
         near = near if known is None else near.unionByName(known)
         found = cut(components(near))
-        part = lambda x: found.toDF(x, f"part_{x}")
-        rest = pairs.join(first.toDF("b", "tried"), "b").filter("a != tried").join(part("a"), "a", "left").join(part("b"), "b", "left")
-        rest = cut(rest.filter("coalesce(part_a, a) != coalesce(part_b, b)").select("a", "b"))
+        rest = cut(apart_by(pairs.join(first.toDF("b", "tried"), "b").filter("a != tried").select("a", "b"), found))
         if not rest.isEmpty():
             near = near.unionByName(verified(rest, texts))
             found = cut(components(near))
         remove(spark, place)
         return near, found
 
-    near, found = linked(keyed.filter("node > head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct(), None)
+    # a text without a key shares no prefix with any other, so it is similar to none and its pairs go
+    near, found = linked(alike(cut(signed.groupBy(*same).agg(node, F.first("fp").alias("fp")).select("node", "fp"))), None)
+    heads = keyed.filter("node > head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
+    near, found = linked(apart_by(heads, found), near)
     # a key whose members beside the head are all connected by now holds no further link
     others = keyed.filter("node > head").join(found, "node", "left").withColumn("part", F.coalesce("component", "node"))
     apart = others.groupBy("w").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).filter("lo < hi").select("w")

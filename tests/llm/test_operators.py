@@ -295,6 +295,44 @@ def test_near_duplicates_by_blocks(spark):
     assert dict(map(tuple, simhash.near_duplicates(spark.createDataFrame(texts, "doc_id bigint, text string")).collect())) == want
 
 
+def test_near_duplicates_start_from_fingerprints(spark, monkeypatch):
+    """The index's candidates connect all texts within two bits, near_duplicates takes them, and what they miss is found all the same."""
+    rng, texts = np.random.default_rng(8), []
+    for n in (60, 300, 2000) * 4:
+        w = blocks_of_words(rng, n)
+        texts += [w, [*w[:-1], "changed"], [*w[: n // 2], "one", *w[n // 2 :]], w[: n - n // 6]]
+    texts = list(enumerate(map(" ".join, texts)))
+    prints = {i: simhash.fingerprint(simhash.shingle_hashes(t.encode(), 5)) for i, t in texts}
+    asked, alike = [], simhash.alike
+
+    def watched(nodes, **more):
+        pairs = alike(nodes, **more)
+        asked.append(list(map(tuple, pairs.collect())))
+        return pairs
+
+    monkeypatch.setattr(simhash, "alike", watched)
+    got = dict(map(tuple, simhash.near_duplicates(spark.createDataFrame(texts, "doc_id bigint, text string")).collect()))
+    want, near = near_by_brute_force(texts)
+    assert got == want
+    close = [(i, j) for i, j in itertools.combinations(prints, 2) if (prints[i] ^ prints[j]).bit_count() <= 2]
+    assert len(asked) == 1 and connected(prints, asked[0]) == connected(prints, close)
+    assert set(close) & set(near) and set(near) - set(close)
+
+
+def test_actions_delete_their_shuffles(spark, tmp_path):
+    import pathlib
+    import time
+
+    files = lambda: {p for d in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString() for p in pathlib.Path(d).rglob("shuffle_*")}
+    before = files()
+    assert common.cut(spark.range(100000).groupBy((F.col("id") % 999).alias("k")).agg(F.count("*").alias("n"))).count() == 999
+    for _ in range(50):
+        if files() <= before:
+            break
+        time.sleep(0.1)
+    assert files() <= before
+
+
 def test_kneser_ney_by_brute_force(spark, docs, odd):
     got = {r.doc_id: r for r in kneser_ney.op5_lm_scoring(spark, SF).collect()}
     texts = {i: [*tokens(t), "</s>"] for i, t in docs}
