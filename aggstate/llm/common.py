@@ -34,9 +34,17 @@ def text_batches(spark: SparkSession) -> None:
         spark.conf.set(key, BATCH_ROWS)
 
 
+def drop_shuffles(spark: SparkSession) -> None:
+    """Lets every action delete its own shuffle files when it ends: nothing but a repeated run would read them, and that writes them anew.
+
+    Otherwise they stay until the driver's heap is collected, and a chain of a hundred joins keeps several times its input on disk."""
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", True)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names; a folder of our own only where none is set and all runs on one machine."""
     text_batches(spark)
+    drop_shuffles(spark)
     folder = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
