@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import arrays_batch, cut, few, portions, remove, shared_folder, table
+from .common import BROADCAST_ROWS, arrays_batch, cut, few, portions, remove, shared_folder, table
 
 BITS = 64
 #: Fingerprints under one index key that are paired with each other; beyond it the linear way is taken.
@@ -148,12 +148,36 @@ def links(nodes: DataFrame, *, radius: int = 2, crowd: int = CROWD) -> DataFrame
     return paired.unionByName(around).distinct()
 
 
-def components(edges: DataFrame, *, most_rounds: int = 60) -> DataFrame:
+def _labels(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The nodes of the edges, ascending, and the smallest node of each one's component."""
+    ids, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    u, v, label = at[: len(a)], at[len(a) :], np.arange(len(ids))
+    while True:
+        after, m = label.copy(), np.minimum(label[u], label[v])
+        np.minimum.at(after, label[u], m)
+        np.minimum.at(after, label[v], m)
+        while not np.array_equal(after, after[after]):
+            after = after[after]
+        if np.array_equal(after, label):
+            return ids, ids[label]
+        label = after
+
+
+def components(edges: DataFrame, *, most_rounds: int = 60, at_once: int = BROADCAST_ROWS) -> DataFrame:
     """(node, component) of every node that an edge (a, b) names; component is the smallest node of its connected component.
 
-    Loops are ignored; an empty table gives an empty one.
+    Loops are ignored; an empty table gives an empty one.  At most at_once edges (of two numbers each) are one task's work: the rounds
+    of star steps would cost thousands of tasks for a few megabytes.
     """
+
+    def run(batches):
+        found = [(b.column("u").to_numpy(), b.column("v").to_numpy()) for b in batches]
+        node, component = _labels(*(np.concatenate([np.zeros(0, np.int64), *[f[i] for f in found]]) for i in (0, 1)))
+        yield arrays_batch({"node": node, "component": component})
+
     now = cut(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u != v").distinct())
+    if now.count() <= at_once:
+        return now.coalesce(1).mapInArrow(run, "node bigint, component bigint")
     for _ in range(most_rounds):
         # large star: every larger neighbour of u is linked to the smallest of u and its neighbours
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))

@@ -319,6 +319,18 @@ def test_near_duplicates_start_from_fingerprints(spark, monkeypatch):
     assert set(close) & set(near) and set(near) - set(close)
 
 
+def test_components_at_once_and_by_stars(spark):
+    rng = np.random.default_rng(9)
+    pairs = [tuple(map(int, p)) for p in rng.integers(0, 400, (220, 2))] + [(1000 + i, 1001 + i) for i in range(60)]
+    edges = spark.createDataFrame(pairs, "a bigint, b bigint")
+    nodes = {x for a, b in pairs if a != b for x in (a, b)}
+    want = connected(sorted(nodes), [p for p in pairs if p[0] != p[1]])
+    want = {x: want[x] for x in nodes}
+    for at_once in (1000, 0):
+        assert dict(map(tuple, simhash.components(edges, at_once=at_once).collect())) == want
+    assert simhash.components(edges.limit(0)).count() == 0
+
+
 def test_actions_delete_their_shuffles(spark, tmp_path):
     import pathlib
     import time
